@@ -32,8 +32,7 @@ def _plain(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "NaN"
-        # Six digits are significant on both sides; the last one may round either way.
-        return round(value, 5) + 0.0
+        return value + 0.0
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None)
     return value

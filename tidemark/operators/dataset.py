@@ -65,6 +65,7 @@ def split_train_test_oot(
     Rows outside the windows or without a label leave. Test rows are those with the smallest
     key hashes, ceil(share * rows) of each label. The cut-off hash per label comes from exact
     order statistics, so no label is ranked in one task; the join side has a row per label.
+    `data` is read four times: pass a stored or checkpointed training set.
     """
     days = split_dates(train_date, window)
     day = F.col("snapshot_date")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates
@@ -124,16 +124,23 @@ def drift_history(
     `reference` are the long rows of the reference months; filter it on the partition column so
     that only those months are read. `kind` is PSI for scores and CSI for features.
     """
+    # Reference and months are counted in one pass; the reference rows carry no snapshot.
     edges = bin_edges(reference, n_bins)
-    base = bin_proportions(reference, edges, n_bins=n_bins, **bin_options).select(
-        "feature", F.col("proportions").alias("_reference")
+    day = F.col(snapshot)
+    stacked = rows.select("feature", "value", day.alias("_day"), F.lit(False).alias("_base")).unionByName(
+        reference.select(
+            "feature", "value", F.lit(None).cast("date").alias("_day"), F.lit(True).alias("_base")
+        )
     )
-    months = bin_proportions(rows, edges, [snapshot], n_bins, **bin_options)
-    return months.join(F.broadcast(base), "feature", "left").select(
+    shares = bin_proportions(stacked, edges, ["_base", "_day"], n_bins, **bin_options)
+    # At most one row per feature and month by now.
+    base = F.max(F.when(F.col("_base"), F.col("proportions"))).over(Window.partitionBy("feature"))
+    months = shares.withColumn("_reference", base).where(~F.col("_base"))
+    return months.select(
         F.lit(model_name).alias("model_name"),
         F.lit(kind).alias("type"),
-        F.col(snapshot).alias("snapshot_date"),
-        dates.period_month(F.col(snapshot)).alias("period_month"),
+        F.col("_day").alias("snapshot_date"),
+        dates.period_month(F.col("_day")).alias("period_month"),
         "feature",
         stability_index(F.col("proportions"), F.col("_reference"), n_bins).alias("psi"),
         "n",

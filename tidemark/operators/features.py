@@ -52,31 +52,39 @@ def rolling_average(
     key: str = "Customer_ID",
     snapshot: str = "snapshot_date",
     n_months: int = 3,
-    require_complete: bool = True,
+    unique: bool = False,
+    months: DataFrame | None = None,
 ) -> DataFrame:
-    """Average of `value` over the last n calendar months, one row per (key, snapshot).
+    """Average of `value` over the key's rows of the last n calendar months.
 
-    Rows are first summed per key and month with map-side partials, so the window sees at most
-    one row per month of history and key, whatever a key's row count. The frame is a range over
-    a month index: a month the key has no row for is not replaced by an older one. With
-    `require_complete` the average is NULL unless all n months exist in the table at all.
+    The frame is a range over a month index: a month the key has no row for is not replaced by
+    an older one. The window sees at most one row per month of history and key: either because
+    rows are `unique` per key and snapshot (then the average is added in place), or because
+    rows are first summed per key and month with map-side partials (then the result has one row
+    per key and snapshot).
+
+    `months` lists the snapshots the table has; with it the average is NULL unless all n months
+    exist in the table at all.
     """
-    monthly = df.groupBy(key, snapshot).agg(
-        F.sum(value).alias("_sum"), F.count(value).alias("_n")
-    )
+    if unique:
+        rows, total, count = df, F.col(value), F.when(F.col(value).isNotNull(), F.lit(1))
+    else:
+        rows = df.groupBy(key, snapshot).agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+        total, count = F.col("_sum"), F.col("_n")
     frame = (
         Window.partitionBy(key)
         .orderBy(dates.month_index(F.col(snapshot)))
         .rangeBetween(-(n_months - 1), 0)
     )
-    average = F.try_divide(F.sum("_sum").over(frame), F.sum("_n").over(frame))
-    rolled = monthly.select(key, snapshot, average.alias(target))
-    if not require_complete:
+    average = F.try_divide(F.sum(total).over(frame), F.sum(count).over(frame)).cast("double")
+    kept = df.columns if unique else [key, snapshot]
+    rolled = rows.select(*kept, average.alias(target))
+    if months is None:
         return rolled
     # One row per calendar month: bounded by the length of history, not by data volume.
-    guard = complete_months(df, snapshot, n_months).select(snapshot, "is_complete")
+    guard = complete_months(months, snapshot, n_months).select(snapshot, "is_complete")
     return rolled.join(F.broadcast(guard), snapshot, "left").select(
-        key, snapshot, F.when(F.col("is_complete"), F.col(target)).alias(target)
+        *kept, F.when(F.col("is_complete"), F.col(target)).alias(target)
     )
 
 

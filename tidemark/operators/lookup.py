@@ -12,13 +12,11 @@ def code_table(
     spark: SparkSession, codes: Mapping[int, str | float], id_name: str, label_name: str
 ) -> DataFrame:
     """A fixed mapping as an in-memory relation whose size the planner knows."""
-    rows = F.array(
-        *[
-            F.struct(F.lit(code).cast("bigint").alias(id_name), F.lit(label).alias(label_name))
-            for code, label in codes.items()
-        ]
+    rows = ", ".join(
+        f"(bigint({code}), {label!r})" if isinstance(label, str) else f"(bigint({code}), double('{label}'))"
+        for code, label in codes.items()
     )
-    return spark.range(1).select(F.inline(rows))
+    return spark.sql(f"select * from values {rows} as t(`{id_name}`, `{label_name}`)")
 
 
 def ceiling_table(

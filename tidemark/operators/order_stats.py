@@ -105,12 +105,12 @@ def exact_quantiles(
         child = "_v" if last else f"_b{level}"
         if not last:
             rows = rows.withColumn(child, _bucket(F.col("_k"), RESOLUTIONS[level]))
+        # The ranks travel as a grouping key, so each level refers to the previous one once.
         histogram = (
             rows.select(*by, parent, child)
-            .join(F.broadcast(found.select(*by, parent)), [*by, parent], "left_semi")
-            .groupBy(*by, parent, child)
-            .agg(F.count("*").alias("_n"))
             .join(F.broadcast(found), [*by, parent])
+            .groupBy(*by, parent, child, "_total", "_targets")
+            .agg(F.count("*").alias("_n"))
         )
         found = narrow(histogram, [*by, parent], child)
 

@@ -9,8 +9,6 @@ broadcasts it when its measured size allows and splits hot partitions of the row
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,60 +21,69 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def flag_repeated(
-    df: DataFrame, keys: Sequence[str], flag: str, ignore: Column | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    flag: str,
+    ignore: Column | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add a boolean column: is this row's key shared with another row?
 
     Rows under `ignore` (a sentinel such as an unknown id) are never flagged. Their last key,
     which must be a string, is replaced by a per-row hash for the join, so that the sentinel
-    does not gather in one shuffle partition.
+    does not gather in one shuffle partition. `counted` is the frame to count keys in, when
+    `df` already carries other flags on the same rows.
     """
-    counted = df if ignore is None else df.where(~ignore)
-    repeated = repeated_keys(counted, keys).select(
+    source = df if counted is None else counted
+    source = source if ignore is None else source.where(~ignore)
+    repeated = repeated_keys(source, keys).select(
         *[F.col(k).alias(f"_r_{i}") for i, k in enumerate(keys)], F.lit(True).alias("_repeated")
     )
+    columns = df.columns
     probe = {f"_p_{i}": F.col(k) for i, k in enumerate(keys)}
     if ignore is not None:
-        spread = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
+        spread = F.concat(F.lit("\u0000"), F.xxhash64(*columns).cast("string"))
         last = len(keys) - 1
         probe[f"_p_{last}"] = F.when(ignore, spread).otherwise(F.col(keys[last]))
-    matches = [F.col(f"_p_{i}").eqNullSafe(F.col(f"_r_{i}")) for i in range(len(keys))]
-    joined = df.withColumns(probe).join(repeated, matches, "left")
-    return joined.select(*df.columns, F.coalesce("_repeated", F.lit(False)).alias(flag))
+    match = F.expr(" and ".join(f"_p_{i} <=> _r_{i}" for i in range(len(keys))))
+    joined = df.withColumns(probe).join(repeated, match, "left")
+    return joined.select(*columns, F.expr(f"_repeated is not null as `{flag}`"))
 
 
-# --- rules: each gives an error text or NULL ----------------------------------
+# --- rules: each is an SQL expression for an error text or NULL ------------------
 
 
-def missing(raw: Column, name: str) -> Column:
-    return F.when(raw.isNull(), F.lit(f"MISSING:{name}"))
+def missing(name: str) -> str:
+    return f"if(`{name}` is null, 'MISSING:{name}', null)"
 
 
-def bad_cast(raw: Column, name: str, dtype: T.DataType) -> Column:
+def bad_cast(name: str, kind: str) -> str:
     """A value is there but does not parse as the enforced type."""
-    failed = raw.isNotNull() & raw.try_cast(dtype).isNull()
-    return F.when(failed, F.concat_ws(":", F.lit("TYPE_CAST_ERROR"), F.lit(name), raw))
+    failed = f"`{name}` is not null and try_cast(`{name}` as {kind}) is null"
+    return f"if({failed}, concat('TYPE_CAST_ERROR:{name}:', `{name}`), null)"
 
 
-def negative(c: Column, name: str, tag: str) -> Column:
-    return F.when(c < 0, F.lit(f"{tag}:{name}"))
+def negative(name: str, tag: str) -> str:
+    return f"if(`{name}` < 0, '{tag}:{name}', null)"
 
 
-def out_of_range(c: Column, low: int, high: int, tag: str) -> Column:
+def out_of_range(name: str, low: int, high: int, tag: str) -> str:
     """Non-negative but outside [low, high]; negatives are reported by their own rule."""
-    return F.when((c >= 0) & ((c < low) | (c > high)), F.concat_ws(":", F.lit(tag), c))
+    outside = f"`{name}` >= 0 and (`{name}` < {low} or `{name}` > {high})"
+    return f"if({outside}, concat('{tag}:', `{name}`), null)"
 
 
-def tagged(flag: Column, tag: str, value: Column) -> Column:
-    return F.when(flag, F.concat_ws(":", F.lit(tag), value))
+def tagged(flag: str, tag: str, value: str) -> str:
+    """Error under a flag; a NULL value leaves the tag alone."""
+    return f"if({flag}, concat_ws(':', '{tag}', `{value}`), null)"
 
 
 def any_null(columns: Sequence[str]) -> Column:
-    return reduce(or_, [F.col(c).isNull() for c in columns])
+    return F.expr(" or ".join(f"`{c}` is null" for c in columns))
 
 
-def error_list(rules: Iterable[Column]) -> Column:
-    return F.array_compact(F.array(*rules))
+def error_list(rules: Iterable[str]) -> Column:
+    return F.expr(f"array_compact(array({', '.join(rules)}))")
 
 
 def parse_errors(df: DataFrame, schema: T.StructType, optional: Sequence[str] = ()) -> Column:
@@ -85,16 +92,13 @@ def parse_errors(df: DataFrame, schema: T.StructType, optional: Sequence[str] =
     Absent columns count as missing. With string input a column either fails to parse or is
     NULL, so each field gives at most one entry.
     """
-
-    def raw(field: T.StructField) -> Column:
-        return F.col(field.name) if field.name in df.columns else F.lit(None).cast("string")
-
+    present = dict(df.dtypes)
     fields = [f for f in schema.fields if f.name not in optional]
-    rules = [missing(raw(f), f.name) for f in fields]
+    rules = [missing(f.name) if f.name in present else f"'MISSING:{f.name}'" for f in fields]
     rules += [
-        bad_cast(raw(f), f.name, f.dataType)
+        bad_cast(f.name, f.dataType.simpleString())
         for f in fields
-        if f.name in df.columns and df.schema[f.name].dataType != f.dataType
+        if present.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()
     ]
     return error_list(rules)
 

@@ -9,18 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def typed(df: DataFrame, field: T.StructField) -> Column:
-    """One column in its enforced type: unparseable or absent values become NULL."""
-    if field.name not in df.columns:
-        return F.lit(None).cast(field.dataType).alias(field.name)
-    if df.schema[field.name].dataType == field.dataType:
-        return F.col(field.name)
-    return F.col(field.name).try_cast(field.dataType).alias(field.name)
+def typed_columns(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """The schema's columns in their enforced types: unparseable or absent values become NULL."""
+    present = dict(df.dtypes)
+    columns = []
+    for field in schema.fields:
+        kind = field.dataType.simpleString()
+        if present.get(field.name) == kind:
+            columns.append(F.col(field.name))
+        elif field.name in present:
+            columns.append(F.expr(f"try_cast(`{field.name}` as {kind}) as `{field.name}`"))
+        else:
+            columns.append(F.expr(f"cast(null as {kind}) as `{field.name}`"))
+    return columns
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the schema's columns, in its order, in one projection."""
-    return df.select([typed(df, field) for field in schema.fields])
+    return df.select(typed_columns(df, schema))
 
 
 def to_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -29,7 +35,8 @@ def to_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_nulls(df: DataFrame, columns: Sequence[str], value: float = 0) -> DataFrame:
-    return df.na.fill(value, subset=[c for c in columns if c in df.columns])
+    present = set(df.columns)
+    return df.na.fill(value, subset=[c for c in columns if c in present])
 
 
 def drop_if_all_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:

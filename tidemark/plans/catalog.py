@@ -33,6 +33,7 @@ from tidemark.operators import (
 from tidemark.plans import fixtures as fx
 from tidemark.plans import gold, silver
 from tidemark.rules import LabelRule
+from tidemark.session import checkpointed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,20 +87,30 @@ def _loans(spark, d):
     return silver.silver_loans(fx.raw_loans(spark, d))
 
 
+def _gold_financials(spark, d):
+    months = fx.raw_financials(spark, d).select("snapshot_date")
+    return gold.gold_financials(_financials(spark, d), months)
+
+
 def _store(spark, d):
     return gold.feature_store(
         gold.gold_attributes(_attributes(spark, d)),
-        gold.gold_financials(_financials(spark, d)),
+        _gold_financials(spark, d),
         gold.gold_clickstream(_clickstream(spark, d)),
         gold.gold_loans(_loans(spark, d)),
     )
 
 
+def _surrogate(spark, d):
+    loans = gold.gold_loans(_loans(spark, d))
+    return labels.surrogate_label(gold.surrogate_source(_gold_financials(spark, d), loans))
+
+
 def _training(spark, d):
     return dataset.training_set(
         _store(spark, d),
         labels.primary_label(_loans(spark, d)),
-        labels.surrogate_label(_store(spark, d)),
+        _surrogate(spark, d),
         codes.DEFAULT_FEATURES,
     )
 
@@ -107,7 +118,7 @@ def _training(spark, d):
 def _split(spark, d):
     days = dates.split_dates(TRAIN_DATE)
     rows = snapshots.in_range(_training(spark, d), days.train_start, days.oot_end)
-    return dataset.split_train_test_oot(rows, TRAIN_DATE)
+    return dataset.split_train_test_oot(checkpointed(rows), TRAIN_DATE)
 
 
 def _scored(spark, d):
@@ -474,7 +485,7 @@ def delinquency_score_log(spark, d):
 @query
 def gold_financials(spark, d):
     return rounded(
-        gold.gold_financials(_financials(spark, d)),
+        _gold_financials(spark, d),
         "delinquency_score_log",
         "dti",
         "savings_rate_avg_3m",
@@ -483,13 +494,17 @@ def gold_financials(spark, d):
 
 @query
 def rolling_avg_3m(spark, d):
-    rolled = features.rolling_average(fx.activity(spark, d), "total", "total_avg_3m")
+    active = fx.activity(spark, d)
+    months = active.select("snapshot_date")
+    rolled = features.rolling_average(active, "total", "total_avg_3m", unique=True, months=months)
+    rolled = rolled.select(*gold.KEYS, "total_avg_3m")
     return rolled.withColumn("total_avg_3m", F.round("total_avg_3m", 4))
 
 
 @query
 def clickstream_avg_3m(spark, d):
-    return rounded(gold.clickstream_average(_clickstream(spark, d)), "fe_1_avg_3m")
+    clicks = _clickstream(spark, d)
+    return rounded(gold.clickstream_average(clicks, clicks.select("snapshot_date")), "fe_1_avg_3m")
 
 
 @query
@@ -514,7 +529,7 @@ def label_primary_with_crs(spark, d):
 
 @query
 def label_surrogate_dsl(spark, d):
-    return labels.surrogate_label(_store(spark, d), LabelRule(dsl=10))
+    return _surrogate(spark, d)
 
 
 @query
@@ -652,7 +667,8 @@ def winsorize_cap(spark, d):
 
 @query
 def correlation_matrix(spark, d):
-    capped = profiling.winsorize(_financials(spark, d), CAPPED, 0.95)
+    numbers = checkpointed(_financials(spark, d).select(*CORRELATED))
+    capped = profiling.winsorize(numbers, CAPPED, 0.95)
     return rounded(profiling.correlation_pairs(capped, CORRELATED), "corr")
 
 
@@ -822,8 +838,6 @@ def carry_forward_unchanged(spark, d):
 
 
 def _trained(spark, d, family: str, n_draws: int):
-    from tidemark.session import checkpointed
-
     split = checkpointed(_split(spark, d))
     return models.train(family, split, codes.DEFAULT_FEATURES, TRAIN_DATE, n_draws), split
 

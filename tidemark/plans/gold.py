@@ -29,12 +29,26 @@ def gold_attributes(attributes: DataFrame) -> DataFrame:
     return attributes.select("Customer_ID", "Age_Group", "snapshot_date")
 
 
-def gold_financials(financials: DataFrame, rule: RiskRule = RiskRule(), n_months: int = 3) -> DataFrame:
-    """Scores, groups and the rolling savings rate, one row per clean financial row."""
-    average = features.rolling_average(
-        financials, "savings_rate", "savings_rate_avg_3m", n_months=n_months
+def gold_financials(
+    financials: DataFrame,
+    months: DataFrame,
+    rule: RiskRule = RiskRule(),
+    n_months: int = 3,
+) -> DataFrame:
+    """Scores, groups and the rolling savings rate of clean financial rows.
+
+    Clean rows are unique per customer and snapshot. `months` are the snapshots delivered at
+    all; the average needs the last n of them.
+    """
+    rolled = features.rolling_average(
+        add_scores(financials, rule),
+        "savings_rate",
+        "savings_rate_avg_3m",
+        n_months=n_months,
+        unique=True,
+        months=months,
     )
-    scored = add_scores(financials, rule).select(
+    return rolled.select(
         *KEYS,
         "Annual_Income_Group",
         "delinquency_score_log",
@@ -42,16 +56,31 @@ def gold_financials(financials: DataFrame, rule: RiskRule = RiskRule(), n_months
         "dti",
         "Payment_Behavior_ID",
         "Payment_of_Min_Amount_ID",
+        "savings_rate_avg_3m",
     )
-    return scored.join(average, list(KEYS), "left")
 
 
 def gold_clickstream(clickstream: DataFrame) -> DataFrame:
     return clickstream.select(*KEYS, *[f"fe_{i}" for i in range(1, 21)])
 
 
-def clickstream_average(clickstream: DataFrame, column: str = "fe_1", n_months: int = 3) -> DataFrame:
-    return features.rolling_average(clickstream, column, f"{column}_avg_{n_months}m", n_months=n_months)
+def clickstream_average(
+    clickstream: DataFrame, months: DataFrame, column: str = "fe_1", n_months: int = 3
+) -> DataFrame:
+    return features.rolling_average(
+        clickstream, column, f"{column}_avg_{n_months}m", n_months=n_months, months=months
+    )
+
+
+def surrogate_source(financials: DataFrame, loans: DataFrame) -> DataFrame:
+    """The store's columns that the surrogate label needs; other sources cannot add such rows."""
+    return features.merge_sources(
+        {
+            "financials": financials.select(*KEYS, "delinquency_score_log"),
+            "loans": loans.select(*KEYS, "mob"),
+        },
+        KEYS,
+    )
 
 
 def gold_loans(loans: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from tidemark.functions import cleaning, numeric
 from tidemark.operators import quality
 from tidemark.operators.labels import delinquency_columns
 from tidemark.operators.lookup import code_table, lookup
-from tidemark.operators.typing import enforce_schema, typed
+from tidemark.operators.typing import enforce_schema, typed_columns
 
 
 # --- attributes -------------------------------------------------------------
@@ -37,27 +37,28 @@ def validated_attributes(raw: DataFrame) -> DataFrame:
     schema = schemas.ATTRIBUTES
     cleaned = clean_attributes(raw)
     parsed = cleaned.select(
-        *[typed(cleaned, f) for f in schema.fields],
+        *typed_columns(cleaned, schema),
         quality.parse_errors(cleaned, schema).alias("_parse_errors"),
+        cleaning.mask_ssn(F.col("SSN")).alias("_masked"),
     )
+    unknown = F.col("SSN") == codes.SSN_UNKNOWN
     flagged = quality.flag_repeated(parsed, ["snapshot_date", "Customer_ID"], "_same_id")
     flagged = quality.flag_repeated(
-        flagged, ["snapshot_date", "SSN"], "_same_ssn", ignore=F.col("SSN") == codes.SSN_UNKNOWN
+        flagged, ["snapshot_date", "SSN"], "_same_ssn", ignore=unknown, counted=parsed
     )
-    masked = cleaning.mask_ssn(F.col("SSN"))
     errors = F.concat(
         "_parse_errors",
         quality.error_list(
             [
-                quality.tagged(F.col("_same_id"), "DUPLICATE_CUSTOMER_ID", F.col("Customer_ID")),
-                quality.tagged(F.col("_same_ssn"), "DUPLICATE_SSN", masked),
-                quality.negative(F.col("Age"), "Age", "NEGATIVE_VALUE"),
-                quality.out_of_range(F.col("Age"), codes.MIN_AGE, codes.MAX_AGE, "AGE_OUT_OF_RANGE"),
+                quality.tagged("_same_id", "DUPLICATE_CUSTOMER_ID", "Customer_ID"),
+                quality.tagged("_same_ssn", "DUPLICATE_SSN", "_masked"),
+                quality.negative("Age", "NEGATIVE_VALUE"),
+                quality.out_of_range("Age", codes.MIN_AGE, codes.MAX_AGE, "AGE_OUT_OF_RANGE"),
             ]
         ),
     )
-    kept = [masked.alias(c) if c == "SSN" else F.col(c) for c in schema.fieldNames()]
-    return flagged.select(*kept, errors.alias("errors"))
+    kept = ["_masked as SSN" if c == "SSN" else c for c in schema.fieldNames()]
+    return flagged.select(*[F.expr(c) for c in kept], errors.alias("errors"))
 
 
 def silver_attributes(validated: DataFrame) -> DataFrame:
@@ -89,15 +90,15 @@ def validated_financials(raw: DataFrame) -> DataFrame:
     schema = schemas.FINANCIALS
     cleaned = clean_financials(raw)
     parsed = cleaned.select(
-        *[typed(cleaned, f) for f in schema.fields],
+        *typed_columns(cleaned, schema),
         quality.parse_errors(cleaned, schema, schemas.FINANCIALS_OPTIONAL).alias("_parse_errors"),
     )
     flagged = quality.flag_repeated(parsed, ["snapshot_date", "Customer_ID"], "_same_id")
     errors = F.concat(
         "_parse_errors",
         quality.error_list(
-            [quality.tagged(F.col("_same_id"), "DUPLICATE_CUSTOMER_ID", F.col("Customer_ID"))]
-            + [quality.negative(F.col(c), c, "NEGATIVE") for c in schemas.FINANCIALS_NON_NEGATIVE]
+            [quality.tagged("_same_id", "DUPLICATE_CUSTOMER_ID", "Customer_ID")]
+            + [quality.negative(c, "NEGATIVE") for c in schemas.FINANCIALS_NON_NEGATIVE]
         ),
     )
     return flagged.select(*schema.fieldNames(), errors.alias("errors"))
