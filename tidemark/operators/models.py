@@ -45,6 +45,7 @@ GBT_SPACE = {
 GBT_DRAWS = 100
 FOLDS = 3
 SEARCH_SEED = 42
+ROWS_PER_PARTITION = 100_000
 # Stand-in for a missing value in tree models: below every real value, so a split can isolate it.
 TREE_MISSING = -1e9
 
@@ -83,15 +84,19 @@ def train(
     n_draws: int | None = None,
     folds: int = FOLDS,
     parallelism: int = 4,
+    keys: Sequence[str] = ("Customer_ID", "snapshot_date"),
 ) -> TrainedModel:
     """Random search with cross-validated AUC on the train split, refit on all of it.
 
-    The prepared training rows are checkpointed once: every draw and fold reads them, and a
-    lost executor must not recompute the feature joins. Only class counts reach the driver.
+    The prepared rows are placed and sorted by key, so that folds and subsamples repeat, and
+    checkpointed once: every draw and fold reads them, and a lost executor must not recompute
+    the feature joins. Only class counts reach the driver.
     """
-    rows = prepare(family, split.where(F.col("split") == "train"), features)
-    rows = checkpointed(rows.select("label", *features))
-    counts = rows.agg(F.count("*").alias("n"), F.sum("label").alias("pos")).first()
+    chosen = split.where(F.col("split") == "train")
+    counts = chosen.agg(F.count("*").alias("n"), F.sum("label").alias("pos")).first()
+    n_parts = max(1, counts["n"] // ROWS_PER_PARTITION)
+    placed = prepare(family, chosen, features).repartition(n_parts, *keys)
+    rows = checkpointed(placed.sortWithinPartitions(*keys).select("label", *features))
     assemble = VectorAssembler(inputCols=list(features), outputCol="raw_features")
     # Trees do not change under scaling, so only the linear model needs it.
     if family == "model_lr":

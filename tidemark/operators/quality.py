@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.typing import typed_columns
+
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys..., n) for every key that occurs more than once; NULL counts as a value."""
@@ -53,14 +55,14 @@ def flag_repeated(
 # --- rules: each is an SQL expression for an error text or NULL ------------------
 
 
-def missing(name: str) -> str:
-    return f"if(`{name}` is null, 'MISSING:{name}', null)"
+def missing(raw: str, name: str) -> str:
+    return f"if(`{raw}` is null, 'MISSING:{name}', null)"
 
 
-def bad_cast(name: str, kind: str) -> str:
-    """A value is there but does not parse as the enforced type."""
-    failed = f"`{name}` is not null and try_cast(`{name}` as {kind}) is null"
-    return f"if({failed}, concat('TYPE_CAST_ERROR:{name}:', `{name}`), null)"
+def bad_cast(raw: str, name: str) -> str:
+    """A raw value is there but its typed column is NULL."""
+    failed = f"`{raw}` is not null and `{name}` is null"
+    return f"if({failed}, concat('TYPE_CAST_ERROR:{name}:', `{raw}`), null)"
 
 
 def negative(name: str, tag: str) -> str:
@@ -83,24 +85,28 @@ def any_null(columns: Sequence[str]) -> Column:
 
 
 def error_list(rules: Iterable[str]) -> Column:
-    return F.expr(f"array_compact(array({', '.join(rules)}))")
+    """The texts of the rules that fired. Texts differ between rules, so taking the set
+    difference with NULL keeps them all, and unlike a lambda it stays in generated code."""
+    return F.expr(f"array_except(array({', '.join(rules)}), array(cast(null as string)))")
 
 
-def parse_errors(df: DataFrame, schema: T.StructType, optional: Sequence[str] = ()) -> Column:
-    """Error list of all MISSING rules, then all TYPE_CAST_ERROR rules, in schema order.
+def parse(
+    df: DataFrame, schema: T.StructType, optional: Sequence[str] = (), errors: str = "_parse_errors"
+) -> DataFrame:
+    """The schema's typed columns plus an error list: all MISSING, then all TYPE_CAST_ERROR.
 
-    Absent columns count as missing. With string input a column either fails to parse or is
-    NULL, so each field gives at most one entry.
+    Absent columns count as missing. Each value is cast once; the raw text stays at hand for
+    the second projection, which compares the two.
     """
     present = dict(df.dtypes)
-    fields = [f for f in schema.fields if f.name not in optional]
-    rules = [missing(f.name) if f.name in present else f"'MISSING:{f.name}'" for f in fields]
-    rules += [
-        bad_cast(f.name, f.dataType.simpleString())
-        for f in fields
-        if present.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()
-    ]
-    return error_list(rules)
+    names = schema.fieldNames()
+    cast = [f.name for f in schema.fields if present.get(f.name) not in (None, f.dataType.simpleString())]
+    both = df.select(
+        *typed_columns(df, schema), *[F.col(c).alias(f"_raw_{c}") for c in cast]
+    )
+    rules = [missing(f"_raw_{c}" if c in cast else c, c) for c in names if c not in optional]
+    rules += [bad_cast(f"_raw_{c}", c) for c in cast if c not in optional]
+    return both.select(*names, error_list(rules).alias(errors))
 
 
 # --- quarantine ----------------------------------------------------------------

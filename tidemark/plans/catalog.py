@@ -92,25 +92,28 @@ def _gold_financials(spark, d):
     return gold.gold_financials(_financials(spark, d), months)
 
 
-def _store(spark, d):
+def _store(spark, d, financials=None):
     return gold.feature_store(
         gold.gold_attributes(_attributes(spark, d)),
-        _gold_financials(spark, d),
+        _gold_financials(spark, d) if financials is None else financials,
         gold.gold_clickstream(_clickstream(spark, d)),
         gold.gold_loans(_loans(spark, d)),
     )
 
 
-def _surrogate(spark, d):
+def _surrogate(spark, d, financials=None):
+    financials = _gold_financials(spark, d) if financials is None else financials
     loans = gold.gold_loans(_loans(spark, d))
-    return labels.surrogate_label(gold.surrogate_source(_gold_financials(spark, d), loans))
+    return labels.surrogate_label(gold.surrogate_source(financials, loans))
 
 
 def _training(spark, d):
+    # Both the store and the surrogate label start from this table.
+    financials = checkpointed(_gold_financials(spark, d))
     return dataset.training_set(
-        _store(spark, d),
+        _store(spark, d, financials),
         labels.primary_label(_loans(spark, d)),
-        _surrogate(spark, d),
+        _surrogate(spark, d, financials),
         codes.DEFAULT_FEATURES,
     )
 

@@ -14,7 +14,7 @@ from tidemark.functions import cleaning, numeric
 from tidemark.operators import quality
 from tidemark.operators.labels import delinquency_columns
 from tidemark.operators.lookup import code_table, lookup
-from tidemark.operators.typing import enforce_schema, typed_columns
+from tidemark.operators.typing import enforce_schema
 
 
 # --- attributes -------------------------------------------------------------
@@ -36,11 +36,7 @@ def validated_attributes(raw: DataFrame) -> DataFrame:
     """Typed attributes with errors. Ids are unique per snapshot; SSNs leave here masked."""
     schema = schemas.ATTRIBUTES
     cleaned = clean_attributes(raw)
-    parsed = cleaned.select(
-        *typed_columns(cleaned, schema),
-        quality.parse_errors(cleaned, schema).alias("_parse_errors"),
-        cleaning.mask_ssn(F.col("SSN")).alias("_masked"),
-    )
+    parsed = quality.parse(cleaned, schema).withColumn("_masked", cleaning.mask_ssn(F.col("SSN")))
     unknown = F.col("SSN") == codes.SSN_UNKNOWN
     flagged = quality.flag_repeated(parsed, ["snapshot_date", "Customer_ID"], "_same_id")
     flagged = quality.flag_repeated(
@@ -89,10 +85,7 @@ def clean_financials(raw: DataFrame) -> DataFrame:
 def validated_financials(raw: DataFrame) -> DataFrame:
     schema = schemas.FINANCIALS
     cleaned = clean_financials(raw)
-    parsed = cleaned.select(
-        *typed_columns(cleaned, schema),
-        quality.parse_errors(cleaned, schema, schemas.FINANCIALS_OPTIONAL).alias("_parse_errors"),
-    )
+    parsed = quality.parse(cleaned, schema, schemas.FINANCIALS_OPTIONAL)
     flagged = quality.flag_repeated(parsed, ["snapshot_date", "Customer_ID"], "_same_id")
     errors = F.concat(
         "_parse_errors",

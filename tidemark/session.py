@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Generated methods beyond this many bytes are never JIT-compiled; split them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -26,6 +28,13 @@ def session_builder(app_name: str = "tidemark") -> SparkSession.Builder:
     return builder
 
 
+def tune(spark: SparkSession) -> None:
+    """Apply the runtime defaults to a session built elsewhere."""
+    for key, value in DEFAULTS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder named by the cluster; a scratch folder only on a local master."""
     context = spark.sparkContext
