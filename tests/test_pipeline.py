@@ -147,7 +147,7 @@ def split_frame(spark):
         "if(id % 10 = 0, null, cast((id * 104729) % 777 as double)) as y",
     )
     primary = store.selectExpr(
-        "Customer_ID", "add_months(snapshot_date, 6) as snapshot_date", "cast(x + coalesce(y, 0) / 2 > 800 as int) as label")
+        "Customer_ID", "add_months(snapshot_date, 6) as snapshot_date", "cast(x + coalesce(y, 0) / 2 + (xxhash64(Customer_ID) % 200) > 800 as int) as label")
     surrogate = store.selectExpr("Customer_ID", "snapshot_date", "1 as label")
     data = checkpointed(dataset.training_set(store, primary, surrogate, ["x", "y"]))
     return store, primary, checkpointed(dataset.split_train_test_oot(data, dt.date(2024, 3, 1)))
@@ -189,6 +189,7 @@ def test_model_loop(spark, split_frame, tmp_path):
     day = dt.date(2024, 3, 1)
     model = models.train("model_lr", split, ["x", "y"], day, n_draws=2)
     again = models.train("model_lr", split, ["x", "y"], day, n_draws=2)
+    assert model.cv_auc == again.cv_auc > 0.9
     results = models.evaluate(model, split)
     got = {r["split"]: r["auc"] for r in results.collect()}
     assert min(got.values()) > 0.9

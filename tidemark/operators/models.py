@@ -9,7 +9,7 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel, PredictionModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -32,7 +32,9 @@ LR_SPACE = {
     "class_weight": ["none", "balanced"],
 }
 LR_DRAWS = 40
-LR_MAX_ITER = 2000
+# Each iteration here is a pass over the data (L-BFGS / OWL-QN), unlike a single-machine
+# coordinate-descent sweep, so the limit is the Spark default.
+LR_MAX_ITER = 100
 GBT_SPACE = {
     "n_estimators": [25, 50],
     "max_depth": [2, 3],
@@ -57,7 +59,7 @@ class TrainedModel:
     features: tuple[str, ...]
     pipeline: PipelineModel
     params: Mapping[str, object]
-    cv_auc: float
+    cv_auc: float | None = None
 
     @property
     def name(self) -> str:
@@ -88,6 +90,8 @@ def train(
 ) -> TrainedModel:
     """Random search with cross-validated AUC on the train split, refit on all of it.
 
+    A single draw has nothing to compare and is fitted directly.
+
     The prepared rows are placed and sorted by key, so that folds and subsamples repeat, and
     checkpointed once: every draw and fold reads them, and a lost executor must not recompute
     the feature joins. Only class counts reach the driver.
@@ -110,24 +114,22 @@ def train(
     else:
         raise ValueError(f"unknown model family: {family}")
     before = Pipeline(stages=stages).fit(rows)
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(numBins=0, metricName="areaUnderROC"),
-        numFolds=folds,
-        seed=SEARCH_SEED,
-        parallelism=parallelism,
-    ).fit(before.transform(rows))
-    best = max(range(len(maps)), key=lambda i: search.avgMetrics[i])
-    model: PredictionModel = search.bestModel
-    return TrainedModel(
-        family,
-        train_date,
-        tuple(features),
-        PipelineModel([*before.stages, model]),
-        draws[best],
-        search.avgMetrics[best],
-    )
+    ready = before.transform(rows)
+    if len(maps) == 1:
+        best, cv_auc, model = 0, None, estimator.fit(ready, maps[0])
+    else:
+        search = CrossValidator(
+            estimator=estimator,
+            estimatorParamMaps=maps,
+            evaluator=BinaryClassificationEvaluator(numBins=0, metricName="areaUnderROC"),
+            numFolds=folds,
+            seed=SEARCH_SEED,
+            parallelism=parallelism,
+        ).fit(ready)
+        best = max(range(len(maps)), key=lambda i: search.avgMetrics[i])
+        cv_auc, model = search.avgMetrics[best], search.bestModel
+    pipeline = PipelineModel([*before.stages, model])
+    return TrainedModel(family, train_date, tuple(features), pipeline, draws[best], cv_auc)
 
 
 def _with_class_weights(rows: DataFrame, n: int, n_pos: int) -> DataFrame:
@@ -248,4 +250,4 @@ def save(model: TrainedModel, folder: str) -> str:
 def load(
     path: str, family: str, train_date: dt.date, features: Sequence[str]
 ) -> TrainedModel:
-    return TrainedModel(family, train_date, tuple(features), PipelineModel.load(path), {}, float("nan"))
+    return TrainedModel(family, train_date, tuple(features), PipelineModel.load(path), {})

@@ -847,7 +847,7 @@ def _trained(spark, d, family: str, n_draws: int):
 
 @query
 def train_lr(spark, d):
-    model, split = _trained(spark, d, "model_lr", 4)
+    model, split = _trained(spark, d, "model_lr", 2)
     return models.evaluate(model, split)
 
 
