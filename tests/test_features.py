@@ -98,7 +98,8 @@ def test_merge_matches_full_outer_joins(spark):
     def rows(frame):
         return sorted((tuple(r) for r in frame.select("Customer_ID", "snapshot_date", "x", "y").collect()), key=str)
 
-    one_pass = rows(features.merge_sources(sources(spark)))
+    one_pass = rows(features.merge_sources(sources(spark), unique=True))
+    assert one_pass == rows(features.merge_sources(sources(spark)))
     assert one_pass == rows(features.merge_sources(sources(spark), unique=False))
     assert len(one_pass) == 4
 
@@ -106,7 +107,8 @@ def test_merge_matches_full_outer_joins(spark):
 def test_merge_refuses_to_lose_rows(spark):
     repeated = sources(spark, extra=[("a", month(1), 7)])
     with pytest.raises(PySparkException, match="several rows"):
-        features.merge_sources(repeated).collect()
+        features.merge_sources(repeated, unique=True).collect()
+    assert features.merge_sources(repeated).count() == 5
     assert features.merge_sources(repeated, unique=False).count() == 5
 
 

@@ -114,7 +114,7 @@ def drift_history(
     rows: DataFrame,
     reference: DataFrame,
     model_name: str,
-    kind: str,
+    kind: str | Column,
     n_bins: int = N_BINS,
     snapshot: str = "snapshot_date",
     **bin_options: bool,
@@ -122,7 +122,8 @@ def drift_history(
     """One stability row per (feature, snapshot) of long rows (feature, value, snapshot).
 
     `reference` are the long rows of the reference months; filter it on the partition column so
-    that only those months are read. `kind` is PSI for scores and CSI for features.
+    that only those months are read. `kind` is PSI for scores and CSI for features; as a column
+    over `feature` it lets scores and features share one pass (see `kind_of`).
     """
     # Reference and months are counted in one pass; the reference rows carry no snapshot.
     edges = bin_edges(reference, n_bins)
@@ -138,7 +139,7 @@ def drift_history(
     months = shares.withColumn("_reference", base).where(~F.col("_base"))
     return months.select(
         F.lit(model_name).alias("model_name"),
-        F.lit(kind).alias("type"),
+        (F.lit(kind) if isinstance(kind, str) else kind).alias("type"),
         F.col("_day").alias("snapshot_date"),
         dates.period_month(F.col("_day")).alias("period_month"),
         "feature",
@@ -147,6 +148,11 @@ def drift_history(
     )
 
 
+def kind_of(score: str) -> Column:
+    """PSI for the score column, CSI for every other feature."""
+    return F.when(F.col("feature") == score, F.lit("PSI")).otherwise(F.lit("CSI"))
+
+
 def with_severity(history: DataFrame, limits: DriftLimits = DriftLimits()) -> DataFrame:
     """OK, WARN or ALERT by the limits of the row's type."""
 
@@ -176,18 +182,27 @@ def stability_summary(history: DataFrame) -> DataFrame:
         F.max("psi").alias("max_psi"),
         F.avg("psi").alias("mean_psi"),
         F.count_distinct("period_month").alias("n_months"),
+        F.min("period_month").alias("_first"),
+        F.max("period_month").alias("_last"),
+    )
+    # One row per feature by now, so a window over all of them is small.
+    everywhere = Window.partitionBy(F.lit(0))
+    several = F.min("_first").over(everywhere) < F.max("_last").over(everywhere)
+    return (
+        per_feature.withColumn("_several", several)
+        .where("_several")
+        .drop("_several", "_first", "_last")
+        .orderBy(F.desc("max_psi"))
     )
-    months = history.agg(F.count_distinct("period_month").alias("n")).scalar()
-    return per_feature.where(months > 1).orderBy(F.desc("max_psi"))
 
 
 def top_drifting(history: DataFrame, k: int = 10) -> DataFrame:
-    """All rows of the k features with the largest index; ties go to the smaller name."""
-    worst = (
-        history.groupBy("feature")
-        .agg(F.max("psi").alias("_max"))
-        .orderBy(F.desc("_max"), "feature")
-        .limit(k)
-        .select("feature")
-    )
-    return history.join(F.broadcast(worst), "feature", "left_semi").orderBy("feature", "period_month")
+    """All rows of the k features with the largest index; ties go to the smaller name.
+
+    A history has one row per model, feature and month, so ranking features by a window is cheap
+    and the history behind it is computed once.
+    """
+    worst = F.max("psi").over(Window.partitionBy("feature"))
+    by_worst = Window.partitionBy(F.lit(0)).orderBy(F.desc("_worst"), "feature")
+    ranked = history.withColumn("_worst", worst).withColumn("_rank", F.dense_rank().over(by_worst))
+    return ranked.where(F.col("_rank") <= k).drop("_worst", "_rank").orderBy("feature", "period_month")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning, dates
+from tidemark.operators.quality import repeated_keys
 from tidemark.operators.snapshots import complete_months
 
 
@@ -91,15 +92,20 @@ def rolling_average(
 def merge_sources(
     sources: Mapping[str, DataFrame],
     keys: Sequence[str] = ("Customer_ID", "snapshot_date"),
-    unique: bool = True,
+    unique: bool | None = None,
 ) -> DataFrame:
     """Full outer merge of feature sources into one wide row per key.
 
     `unique=True` is for sources with at most one row per key (quarantined layers): the sources
     are stacked and grouped, one shuffle in total. A source that breaks this promise fails the
     query instead of losing rows. `unique=False` chains full outer joins, which also keeps the
-    fan-out of repeated keys. Keys with a NULL part match nothing in either form.
+    fan-out of repeated keys, such as several loans of a customer. By default the key columns
+    are checked first. Keys with a NULL part match nothing in either form.
     """
+    if unique is None:
+        unique = all(
+            repeated_keys(frame.select(*keys).na.drop(), keys).isEmpty() for frame in sources.values()
+        )
     if not unique:
         frames = iter(sources.values())
         merged = next(frames)

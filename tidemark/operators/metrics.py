@@ -64,30 +64,35 @@ def auc_gini(
     scored: DataFrame, by: Sequence[str] = (), score: str = "model_predictions", label: str = "label"
 ) -> DataFrame:
     """AUC with Gini = 2 AUC - 1; both NULL when a group has one class only."""
-    return auc(scored, score, label, by).withColumn("gini", F.col("auc") * 2 - 1)
+    ranked = auc(scored, score, label, by)
+    return ranked.select(*by, "n_pos", "n_neg", "auc", (F.col("auc") * 2 - 1).alias("gini"))
 
 
 def performance_history(
     scored: DataFrame, period_tag: str, label_shift: int = 6, by: Sequence[str] = ("model_name", "snapshot_date")
 ) -> DataFrame:
-    """One tidy performance row per model and snapshot of labelled scores."""
+    """One tidy performance row per model and snapshot of labelled scores.
+
+    Accuracy and log-loss are sums over distinct scores, so they come out of the same pass that
+    ranks the scores for the AUC.
+    """
     by = list(by)
-    ranked = auc_gini(scored, by).select(*by, "auc", "gini")
-    return (
-        classification_metrics(scored, by)
-        .join(ranked, by, "left")
-        .select(
-            *by,
-            dates.performance_period(F.col("snapshot_date"), label_shift).alias("period_month"),
-            F.lit(period_tag).alias("period_tag"),
-            "auc",
-            "logloss",
-            "accuracy",
-            "gini",
-            "n_rows",
-            "n_pos",
-            "n_neg",
-        )
+    p = F.least(F.greatest(F.col("_v"), F.lit(CLIP)), F.lit(1 - CLIP))
+    hits = F.when(F.col("_v") >= THRESHOLD, F.col("_pos")).otherwise(F.col("_neg"))
+    loss = -(F.col("_pos") * F.log(p) + F.col("_neg") * F.log(1 - p))
+    ranked = auc(scored, "model_predictions", "label", by, {"hits": hits, "loss": loss})
+    judged = F.col("n_pos") + F.col("n_neg")
+    return ranked.select(
+        *by,
+        dates.performance_period(F.col("snapshot_date"), label_shift).alias("period_month"),
+        F.lit(period_tag).alias("period_tag"),
+        "auc",
+        F.try_divide("loss", judged).alias("logloss"),
+        F.try_divide("hits", judged).alias("accuracy"),
+        (F.col("auc") * 2 - 1).alias("gini"),
+        "n_rows",
+        "n_pos",
+        (F.col("n_rows") - F.col("n_pos")).alias("n_neg"),
     )
 
 

@@ -9,7 +9,7 @@ sorts more than one bucket's children in a task, and equal values are merged bef
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,10 +28,8 @@ def _bucket(key: Column, bits: int) -> Column:
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., feature, value) with one row per listed column, values as double."""
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
-    return df.select(*keep, F.inline(cells))
+    wide = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+    return wide.unpivot(list(keep), list(columns), "feature", "value")
 
 
 def exact_quantiles(
@@ -143,53 +141,67 @@ def approx_quantiles(
 
 
 def auc(
-    df: DataFrame, score: str, label: str, by: Sequence[str] = ()
+    df: DataFrame,
+    score: str,
+    label: str,
+    by: Sequence[str] = (),
+    sums: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Exact area under the ROC curve per group, ties counted half; NULL for a single class.
 
-    Gives by..., n_pos, n_neg, auc. Pair counts are doubles: exact up to 2**53 and relative
-    to that precision beyond.
+    Gives by..., n_rows, n_pos, n_neg, auc, sums.... Rows without score or label count in
+    n_rows only. `sums` are further totals, written over _v (the score), _pos and _neg (rows of
+    each class with that score); they ride along in the same pass. Pair counts are doubles:
+    exact up to 2**53 and relative to that precision beyond.
     """
-    by = list(by)
-    s = F.col(score).cast("double")
-    distinct = (
-        df.select(*by, s.alias("_v"), F.col(label).cast("int").alias("_y"))
-        .where("_v is not null and _y is not null")
+    by, sums = list(by), dict(sums or {})
+    v, y = F.col(score).cast("double"), F.col(label).cast("int")
+    level = (
+        df.select(*by, v.alias("_v"), y.alias("_y"))
         .groupBy(*by, "_v")
         .agg(
-            F.count_if(F.col("_y") == 1).cast("double").alias("_pos"),
-            F.count_if(F.col("_y") == 0).cast("double").alias("_neg"),
+            F.count("*").alias("_n"),
+            F.count_if((F.col("_y") == 1) & F.col("_v").isNotNull()).cast("double").alias("_pos"),
+            F.count_if((F.col("_y") == 0) & F.col("_v").isNotNull()).cast("double").alias("_neg"),
         )
     )
     # Equal scores pair with each other for one half.
-    level = distinct.withColumn("_pairs", F.col("_pos") * F.col("_neg") / 2).withColumn(
-        "_k", _order_key(F.col("_v"))
+    level = level.withColumns(
+        {
+            "_pairs": F.col("_pos") * F.col("_neg") / 2,
+            "_k": _order_key(F.col("_v")),
+            **{f"_sum_{name}": expr for name, expr in sums.items()},
+        }
     )
+    totals = ["_n", "_pos", "_neg", "_pairs", *[f"_sum_{name}" for name in sums]]
     order = "_v"
     for bits in (*reversed(RESOLUTIONS), 0):
         level = level.withColumn("_parent", _bucket(F.col("_k"), bits))
-        level = _count_pairs(level, [*by, "_parent"], order)
+        level = _count_pairs(level, [*by, "_parent"], order, totals)
         level = level.withColumn("_k", F.col("_parent") / F.lit(float(2**bits)))
         order = "_k"
-    if by:
-        total = _count_pairs(level, by, "_k")
-    else:
-        total = _count_pairs(level.withColumn("_all", F.lit(0)), ["_all"], "_k")
+    top = by or ["_all"]
+    level = level if by else level.withColumn("_all", F.lit(0))
+    total = _count_pairs(level, top, "_k", totals)
     both = F.col("_pos") * F.col("_neg")
     return total.select(
         *by,
+        F.col("_n").alias("n_rows"),
         F.col("_pos").cast("bigint").alias("n_pos"),
         F.col("_neg").cast("bigint").alias("n_neg"),
         F.when(both > 0, F.col("_pairs") / both).alias("auc"),
+        *[F.col(f"_sum_{name}").alias(name) for name in sums],
     )
 
 
-def _count_pairs(level: DataFrame, parent: list[str], order: str) -> DataFrame:
+def _count_pairs(
+    level: DataFrame, parent: list[str], order: str, totals: list[str]
+) -> DataFrame:
     """Merge children into their parent, adding the pairs between different children."""
     below = Window.partitionBy(*parent).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     between = F.col("_pos") * F.coalesce(F.sum("_neg").over(below), F.lit(0.0))
     return (
         level.withColumn("_pairs", F.col("_pairs") + between)
         .groupBy(*parent)
-        .agg(*[F.sum(c).alias(c) for c in ("_pos", "_neg", "_pairs")])
+        .agg(*[F.sum(c).alias(c) for c in totals])
     )

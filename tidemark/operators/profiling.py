@@ -56,14 +56,11 @@ def string_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Counts per value first (partial aggregation absorbs hot values), then one row per column.
     """
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-            for c in columns
-        ]
-    )
+    text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     per_value = (
-        df.select(F.inline(cells)).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+        text.unpivot([], list(columns), "column_name", "value")
+        .groupBy("column_name", "value")
+        .agg(F.count("*").alias("n"))
     )
     repeated = F.col("n") > 1
     return (

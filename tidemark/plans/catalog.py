@@ -98,13 +98,14 @@ def _store(spark, d, financials=None):
         _gold_financials(spark, d) if financials is None else financials,
         gold.gold_clickstream(_clickstream(spark, d)),
         gold.gold_loans(_loans(spark, d)),
+        unique=True,
     )
 
 
 def _surrogate(spark, d, financials=None):
     financials = _gold_financials(spark, d) if financials is None else financials
     loans = gold.gold_loans(_loans(spark, d))
-    return labels.surrogate_label(gold.surrogate_source(financials, loans))
+    return labels.surrogate_label(gold.surrogate_source(financials, loans, unique=True))
 
 
 def _training(spark, d):
@@ -140,35 +141,35 @@ def _reference(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("snapshot_date").isin(*[F.lit(m) for m in REFERENCE_MONTHS]))
 
 
-def _drift(rows: DataFrame, kind: str, model: str = "prod_model") -> DataFrame:
-    return drift.drift_history(rows, _reference(rows), model, kind)
-
-
 def _stability(spark, d):
-    psi = _drift(_score_rows(spark, d), "PSI")
-    return psi.unionByName(_drift(_clickstream_rows(spark, d), "CSI"))
+    rows = _score_rows(spark, d).unionByName(_clickstream_rows(spark, d))
+    kind = drift.kind_of("model_predictions")
+    return drift.drift_history(rows, _reference(rows), "prod_model", kind)
 
 
 def _monthly(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn("snapshot_date", dates.month_start(F.col(column).cast("date")))
 
 
-def _lineitem_rows(spark, d):
-    lines = _monthly(fx.table(spark, d, "lineitem"), "l_shipdate").withColumn(
-        "high_tax", (F.col("l_tax") > 0.07).cast("int")
-    )
+def _line_rows(lines: DataFrame) -> DataFrame:
+    monthly = _monthly(lines, "l_shipdate").withColumn("high_tax", (F.col("l_tax") > 0.07).cast("int"))
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "high_tax"]
-    return order_stats.unpivot(lines, columns, ["snapshot_date"])
+    return order_stats.unpivot(monthly, columns, ["snapshot_date"])
 
 
-def _lineitem_reference(rows: DataFrame) -> DataFrame:
-    months = [dt.date(1996, 1, 1), dt.date(1996, 2, 1)]
-    return rows.where(F.col("snapshot_date").isin(*[F.lit(m) for m in months]))
+def _lineitem_rows(spark, d):
+    return _line_rows(fx.table(spark, d, "lineitem"))
+
+
+def _lineitem_reference(spark, d):
+    """The first two months, as a date range on the scan."""
+    lines = fx.table(spark, d, "lineitem")
+    day = F.col("l_shipdate")
+    return _line_rows(lines.where((day >= F.lit(dt.date(1996, 1, 1))) & (day < F.lit(dt.date(1996, 3, 1)))))
 
 
 def _lineitem_drift(spark, d):
-    rows = _lineitem_rows(spark, d)
-    return drift.drift_history(rows, _lineitem_reference(rows), "lines", "CSI")
+    return drift.drift_history(_lineitem_rows(spark, d), _lineitem_reference(spark, d), "lines", "CSI")
 
 
 # --- scans and calendars --------------------------------------------------------
@@ -727,21 +728,22 @@ def _exploded(df: DataFrame, column: str, name: str, keep: Sequence[str]) -> Dat
 
 @query
 def psi_bin_edges(spark, d):
-    edges = drift.bin_edges(_lineitem_reference(_lineitem_rows(spark, d)))
+    edges = drift.bin_edges(_lineitem_reference(spark, d))
     return _exploded(edges, "edges", "edge", ["feature"])
 
 
 @query
 def psi_bin_proportions(spark, d):
     rows = _lineitem_rows(spark, d)
-    edges = drift.bin_edges(_lineitem_reference(rows))
+    edges = drift.bin_edges(_lineitem_reference(spark, d))
     shares = drift.bin_proportions(rows, edges, ["snapshot_date"])
     return _exploded(shares, "proportions", "proportion", ["feature", "snapshot_date", "n"])
 
 
 @query
 def psi_score_drift(spark, d):
-    return rounded(_drift(_score_rows(spark, d), "PSI"), "psi")
+    rows = _score_rows(spark, d)
+    return rounded(drift.drift_history(rows, _reference(rows), "prod_model", "PSI"), "psi")
 
 
 @query

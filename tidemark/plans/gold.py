@@ -72,7 +72,9 @@ def clickstream_average(
     )
 
 
-def surrogate_source(financials: DataFrame, loans: DataFrame) -> DataFrame:
+def surrogate_source(
+    financials: DataFrame, loans: DataFrame, unique: bool | None = None
+) -> DataFrame:
     """The store's columns that the surrogate label needs; other sources cannot add such rows."""
     return features.merge_sources(
         {
@@ -80,6 +82,7 @@ def surrogate_source(financials: DataFrame, loans: DataFrame) -> DataFrame:
             "loans": loans.select(*KEYS, "mob"),
         },
         KEYS,
+        unique,
     )
 
 
@@ -104,7 +107,7 @@ def feature_store(
     financials: DataFrame,
     clickstream: DataFrame,
     loans: DataFrame,
-    unique: bool = True,
+    unique: bool | None = None,
 ) -> DataFrame:
     """All gold features per customer and snapshot, whichever sources have the key."""
     return features.merge_sources(

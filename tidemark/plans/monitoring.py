@@ -47,15 +47,14 @@ def monitor(
     wanted = store.where(F.col("snapshot_date").isin(F.lit(snapshot), *days))
     feature_rows = unpivot(to_numeric(wanted, list(model.features)), list(model.features), ["snapshot_date"])
 
-    def history(rows: DataFrame, kind: str) -> DataFrame:
-        now = rows.where(F.col("snapshot_date") == F.lit(snapshot))
-        return drift.drift_history(now, rows.where(F.col("snapshot_date").isin(*days)), model_name, kind)
-
-    stability = upsert_history(
-        history(score_rows, "PSI").unionByName(history(feature_rows, "CSI")),
-        f"{folder}/stability",
-        STABILITY_KEYS,
+    rows = score_rows.unionByName(feature_rows)
+    drifted = drift.drift_history(
+        rows.where(F.col("snapshot_date") == F.lit(snapshot)),
+        rows.where(F.col("snapshot_date").isin(*days)),
+        model_name,
+        drift.kind_of("model_predictions"),
     )
+    stability = upsert_history(drifted, f"{folder}/stability", STABILITY_KEYS)
     current = scored.where(F.col("snapshot_date") == F.lit(snapshot))
     performance = upsert_history(
         metrics.performance_history(metrics.join_labels(current, labels), "PROD"),
