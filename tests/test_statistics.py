@@ -140,7 +140,7 @@ def test_bin_options(spark):
     edges = F.array(F.lit(0.0), F.lit(5.0), F.lit(10.0))
 
     def bins(**options):
-        return [r[0] for r in frame.select(drift.bin_number(F.col("value"), edges, **options)).collect()]
+        return [r[0] for r in frame.withColumn("edges", edges).select(drift.bin_number(**options)).collect()]
 
     assert bins() == [0, 1, None, None, None, None]
     assert bins(closed_last=True) == [0, 1, 1, None, None, None]

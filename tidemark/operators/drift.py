@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,41 +26,36 @@ def bin_edges(reference: DataFrame, n_bins: int = N_BINS) -> DataFrame:
     """
     steps = [i * (1.0 / n_bins) for i in range(n_bins)] + [1.0]
     found = exact_quantiles(reference, "value", steps, by=["feature"], name="q")
-    low, high = F.get("q", F.lit(0)), F.get("q", F.lit(n_bins))
-    pad = F.when(low == high, F.lit(CONSTANT_PAD)).otherwise(F.lit(0.0))
-    start, stop = low - pad, high + pad
-    width = (stop - start) / n_bins
-    even = F.array(*[start + F.lit(i) * width for i in range(n_bins)], stop)
-    unique = F.array_distinct("q")
-    edges = F.when(F.size(unique) < FEWEST_EDGES, even).otherwise(unique)
-    return found.select("feature", edges.alias("edges"))
+    pad = f"if(q[0] = q[{n_bins}], {CONSTANT_PAD!r}D, 0D)"
+    start, stop = f"(q[0] - {pad})", f"(q[{n_bins}] + {pad})"
+    even = [f"{start} + {i} * (({stop} - {start}) / {n_bins})" for i in range(n_bins)]
+    edges = f"""if(size(array_distinct(q)) < {FEWEST_EDGES},
+        array({', '.join(even)}, {stop}), array_distinct(q))"""
+    return found.select("feature", F.expr(edges).alias("edges"))
 
 
 def bin_number(
-    value: Column,
-    edges: Column,
     n_bins: int = N_BINS,
     closed_last: bool = False,
     open_ended: bool = False,
+    value: str = "value",
+    edges: str = "edges",
 ) -> Column:
-    """Zero-based bin of [a, b) intervals, NULL outside.
+    """Zero-based bin of [a, b) intervals, NULL outside; written over two column names.
 
     By default the largest edge itself lies outside. `closed_last` counts it into the last bin,
     `open_ended` stretches the outer bins to infinity.
     """
-    reached = [
-        F.coalesce((value >= F.get(edges, F.lit(i))).cast("int"), F.lit(0)) for i in range(n_bins + 1)
-    ]
-    position = reduce(add, reached) - 1
-    last = F.size(edges) - 2
-    usable = value.isNotNull() & ~F.isnan(value)
+    reached = [f"if({value} >= get({edges}, {i}), 1, 0)" for i in range(n_bins + 1)]
+    position, last = f"({' + '.join(reached)} - 1)", f"(size({edges}) - 2)"
+    usable = f"{value} is not null and not isnan({value})"
     if open_ended:
-        return F.when(usable, F.least(F.greatest(position, F.lit(0)), last))
-    top = F.element_at(edges, -1)
-    inside = usable & (position >= 0) & (position <= last)
+        return F.expr(f"if({usable}, least(greatest({position}, 0), {last}), null)")
+    inside = f"if({usable} and {position} between 0 and {last}, {position}, null)"
     if closed_last:
-        return F.when(usable & (value == top), last).when(inside, position)
-    return F.when(inside, position)
+        top = f"{usable} and {value} = element_at({edges}, -1)"
+        return F.expr(f"if({top}, {last}, {inside})")
+    return F.expr(inside)
 
 
 def bin_proportions(
@@ -79,35 +72,29 @@ def bin_proportions(
     conditional count in one partial aggregate.
     """
     placed = rows.join(F.broadcast(edges), "feature", "left").select(
-        "feature", *by, bin_number(F.col("value"), F.col("edges"), n_bins, **bin_options).alias("_bin"),
+        "feature",
+        *by,
+        bin_number(n_bins, **bin_options).alias("_bin"),
         F.size("edges").alias("_n_edges"),
     )
     counted = placed.groupBy("feature", *by).agg(
         F.count("*").alias("n"),
         F.count("_bin").alias("_inside"),
         F.max("_n_edges").alias("_n_edges"),
-        *[F.count_if(F.col("_bin") == i).alias(f"_c{i}") for i in range(n_bins)],
+        *[F.expr(f"count_if(_bin = {i}) as _c{i}") for i in range(n_bins)],
     )
-    share = [
-        F.when(F.col("_inside") > 0, F.col(f"_c{i}") / F.col("_inside")).otherwise(F.lit(0.0))
-        for i in range(n_bins)
-    ]
-    usable = F.slice(F.array(*share), F.lit(1), F.col("_n_edges") - 1)
-    return counted.select("feature", *by, usable.alias("proportions"), "n")
+    share = ", ".join(f"if(_inside > 0, _c{i} / _inside, 0D)" for i in range(n_bins))
+    usable = F.expr(f"slice(array({share}), 1, _n_edges - 1) as proportions")
+    return counted.select("feature", *by, usable, "n")
 
 
-def stability_index(compared: Column, reference: Column, n_bins: int = N_BINS) -> Column:
+def stability_index(compared: str, reference: str, n_bins: int = N_BINS) -> Column:
     """Sum of (p - q) * ln(p / q) with both shares clipped to [EPSILON, 1]."""
-
-    def share(c: Column, i: int) -> Column:
-        return F.least(F.greatest(F.get(c, F.lit(i)), F.lit(EPSILON)), F.lit(1.0))
-
     terms = []
     for i in range(n_bins):
-        p, q = share(compared, i), share(reference, i)
-        term = (p - q) * F.log(p / q)
-        terms.append(F.when(F.size(reference) > i, term).otherwise(F.lit(0.0)))
-    return F.when(reference.isNotNull(), reduce(add, terms))
+        p, q = (f"least(greatest(get({c}, {i}), {EPSILON!r}D), 1D)" for c in (compared, reference))
+        terms.append(f"if(size({reference}) > {i}, ({p} - {q}) * ln({p} / {q}), 0D)")
+    return F.expr(f"if({reference} is not null, {' + '.join(terms)}, null)")
 
 
 def drift_history(
@@ -143,7 +130,7 @@ def drift_history(
         F.col("_day").alias("snapshot_date"),
         dates.period_month(F.col("_day")).alias("period_month"),
         "feature",
-        stability_index(F.col("proportions"), F.col("_reference"), n_bins).alias("psi"),
+        stability_index("proportions", "_reference", n_bins).alias("psi"),
         "n",
     )
 

@@ -57,21 +57,18 @@ def exact_quantiles(
     usable = df.select(*by, v.alias("_v")).where("_v is not null and not isnan(_v)")
     usable = usable.withColumn("_k", _order_key(F.col("_v")))
 
-    def wanted(total: Column) -> Column:
-        """Struct array (slot, rank) of the zero-based ranks to look up."""
-        targets = []
-        for i, p in enumerate(probabilities):
-            if interpolate:
-                position = F.lit(float(p)) * (total - 1)
-                ranks = [F.floor(position), F.ceil(position)]
-            else:
-                rank = F.greatest(F.ceil(F.round(F.lit(float(p)) * total, 9)), F.lit(1)) - 1
-                ranks = [rank, rank]
-            for side, rank in enumerate(ranks):
-                targets.append(
-                    F.struct(F.lit(2 * i + side).alias("slot"), rank.cast("bigint").alias("rank"))
-                )
-        return F.array(*targets)
+    # Zero-based ranks to look up: two slots per probability, equal without interpolation.
+    # Written as SQL text because there are many of them.
+    targets = []
+    for i, p in enumerate(probabilities):
+        if interpolate:
+            position = f"{float(p)!r}D * (_total - 1)"
+            ranks = [f"floor({position})", f"ceil({position})"]
+        else:
+            ranks = [f"greatest(ceil(round({float(p)!r}D * _total, 9)), 1) - 1"] * 2
+        for side, rank in enumerate(ranks):
+            targets.append(f"named_struct('slot', {2 * i + side}, 'rank', cast({rank} as bigint))")
+    wanted = F.expr(f"array({', '.join(targets)})")
 
     def narrow(histogram: DataFrame, parent: list[str], order: str) -> DataFrame:
         """Keep the buckets that hold a wanted rank; ranks become relative to the bucket."""
@@ -94,7 +91,7 @@ def exact_quantiles(
         F.count("*").alias("_n")
     )
     coarse = coarse.withColumn("_total", F.sum("_n").over(Window.partitionBy(*by)))
-    found = narrow(coarse.withColumn("_targets", wanted(F.col("_total"))), by, "_b0")
+    found = narrow(coarse.withColumn("_targets", wanted), by, "_b0")
 
     for level in range(1, len(RESOLUTIONS) + 1):
         parent = f"_b{level - 1}"
@@ -115,17 +112,14 @@ def exact_quantiles(
     picked = found.select(*by, "_total", "_v", F.explode("_targets").alias("_t"))
     slots = picked.groupBy(*by).agg(
         F.max("_total").alias("n"),
-        *[
-            F.max(F.when(F.col("_t.slot") == s, F.col("_v"))).alias(f"_s{s}")
-            for s in range(2 * len(probabilities))
-        ],
+        *[F.expr(f"max(if(_t.slot = {s}, _v, null)) as _s{s}") for s in range(2 * len(probabilities))],
     )
     values = []
     for i, p in enumerate(probabilities):
-        low, high = F.col(f"_s{2 * i}"), F.col(f"_s{2 * i + 1}")
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        values.append(low + (high - low) * (position - F.floor(position)) if interpolate else low)
-    return slots.select(*by, "n", F.array(*values).alias(name))
+        low, high, position = f"_s{2 * i}", f"_s{2 * i + 1}", f"{float(p)!r}D * (n - 1)"
+        between = f"{low} + ({high} - {low}) * ({position} - floor({position}))"
+        values.append(between if interpolate else low)
+    return slots.select(*by, "n", F.expr(f"array({', '.join(values)}) as `{name}`"))
 
 
 def approx_quantiles(
