@@ -77,6 +77,16 @@ def test_rerun_replaces_only_its_month(spark, deliveries, backfill):
     assert rows(files.read_snapshots(spark, backfill.gold("feature_store"))) == before
 
 
+def test_missing_deliveries_give_null_features(spark, deliveries, tmp_path):
+    layout = medallion.Layout(str(tmp_path))
+    only = {"fe_clickstream": str(tmp_path / "none.csv"), "lms": deliveries["lms"]}
+    medallion.run(spark, only, layout, MONTHS[0])
+    store = files.read_snapshots(spark, layout.gold("feature_store"))
+    assert store.count() > 0 and store.where("crs is not null or fe_1 is not null").count() == 0
+    assert {"crs", "fe_20", "Age_Group", "savings_rate_avg_3m"} <= set(store.columns)
+    assert medallion.quarantine_report(spark, layout).count() == 0
+
+
 def test_partition_pruning_and_pushdown(spark, backfill, data):
     one = files.read_snapshots(spark, backfill.gold("feature_store"), MONTHS[1], MONTHS[1]).select("crs")
     plan = one._jdf.queryExecution().executedPlan().toString()

@@ -75,22 +75,43 @@ def bronze(spark: SparkSession, layout: Layout, source: str, snapshot: dt.date |
     return read_snapshots(spark, layout.bronze(source), snapshot, snapshot, _bronze_schema(source))
 
 
+# Sources with validation rules write a quarantine table next to their clean one.
+_VALIDATED = {
+    "fe_attributes": (silver.validated_attributes, silver.silver_attributes),
+    "fe_financials": (silver.validated_financials, silver.silver_financials),
+}
+_PLAIN = {"fe_clickstream": silver.silver_clickstream, "lms": silver.silver_loans}
+
+
 def build_silver(spark: SparkSession, layout: Layout, snapshot: dt.date | None = None) -> None:
     """Clean, type and validate each source. Validated rows are checkpointed once, because the
     clean and the quarantine table are both written from them."""
-    validated = {
-        "fe_attributes": (silver.validated_attributes, silver.silver_attributes),
-        "fe_financials": (silver.validated_financials, silver.silver_financials),
-    }
-    for source, (validate, finish) in validated.items():
+    for source, (validate, finish) in _VALIDATED.items():
         checked = checkpointed(validate(bronze(spark, layout, source, snapshot)))
         write_snapshots(finish(checked), layout.silver(source))
         write_snapshots(quality.quarantined_rows(checked), layout.quarantine(source))
-    plain = {"fe_clickstream": silver.silver_clickstream, "lms": silver.silver_loans}
-    for source, finish in plain.items():
+    for source, finish in _PLAIN.items():
         write_snapshots(finish(bronze(spark, layout, source, snapshot)), layout.silver(source))
 
 
+def silver_table(
+    spark: SparkSession, layout: Layout, source: str, start: dt.date | None, end: dt.date | None
+) -> DataFrame:
+    """A silver table with its full schema, also when the source was never delivered."""
+    nothing = spark.createDataFrame([], _bronze_schema(source))
+    if source in _PLAIN:
+        schema = _PLAIN[source](nothing).schema
+    else:
+        validate, finish = _VALIDATED[source]
+        schema = finish(validate(nothing)).schema
+    return read_snapshots(spark, layout.silver(source), start, end, schema)
+
+
+def quarantine_table(spark: SparkSession, layout: Layout, source: str) -> DataFrame:
+    schema = _VALIDATED[source][0](spark.createDataFrame([], _bronze_schema(source))).schema
+    return read_snapshots(spark, layout.quarantine(source), schema=schema)
+
+
 def write_code_tables(spark: SparkSession, layout: Layout) -> None:
     tables = {
         "age_group": lookup.ceiling_table(spark, codes.AGE_CEILINGS, "Age_Group", "Age_Group_Ceiling"),
@@ -125,12 +146,15 @@ def build_gold(
         return df if snapshot is None else at_snapshot(df, snapshot)
 
     def table(source: str, start: dt.date | None) -> DataFrame:
-        return read_snapshots(spark, layout.silver(source), start, snapshot)
+        return silver_table(spark, layout, source, start, snapshot)
 
     first = None if snapshot is None else shift_months(snapshot, -(ROLLING_MONTHS - 1))
     financials, loans = table("fe_financials", first), table("lms", snapshot)
     # The calendar comes from the delivered months, also when a month has no clean row.
-    months = read_snapshots(spark, layout.bronze("fe_financials"), first, snapshot).select("snapshot_date")
+    delivered = read_snapshots(
+        spark, layout.bronze("fe_financials"), first, snapshot, _bronze_schema("fe_financials")
+    )
+    months = delivered.select("snapshot_date")
     scored = only(gold.gold_financials(financials, months, rule.risk, ROLLING_MONTHS))
     store = gold.feature_store(
         gold.gold_attributes(table("fe_attributes", snapshot)),
@@ -161,9 +185,9 @@ def run(
 def quarantine_report(spark: SparkSession, layout: Layout) -> DataFrame:
     """Errors per source and type over all snapshots."""
     reports = [
-        quality.error_counts(read_snapshots(spark, layout.quarantine(source))).withColumn(
+        quality.error_counts(quarantine_table(spark, layout, source)).withColumn(
             "source", F.lit(source)
         )
-        for source in ("fe_attributes", "fe_financials")
+        for source in _VALIDATED
     ]
     return reports[0].unionByName(reports[1])
