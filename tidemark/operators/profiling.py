@@ -185,7 +185,7 @@ def winsorize(df: DataFrame, columns: Sequence[str], probability: float = 0.995)
         ).alias("caps")
     ).scalar()
     capped = {
-        c: F.when(F.col(c) > caps[c], caps[c]).otherwise(F.col(c).cast("double")) for c in columns
+        c: F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), caps[c])) for c in columns
     }
     return df.withColumns(capped)
 
