@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, packing, sharding, token_counts
+from tidemark.llm import bpe, line_dedup, packing, quality_rules, sharding, token_counts
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,16 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder))
 
 
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.report(documents(spark, folder))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.report(documents(spark, folder))
+
+
 @query
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder), vocabulary(WORD_TOKENIZER))
@@ -54,3 +64,6 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.histogram(documents(spark, folder), vocabulary(BYTE_RANKS), pattern())
     return token_counts.suffix_sums(counts)
+
+
+SQL |= {"op5_line_dedup": line_dedup.SQL, "op6_quality_rules": quality_rules.SQL}

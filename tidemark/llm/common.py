@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -75,11 +76,12 @@ def strings(batch: pa.RecordBatch, name: str) -> list[str]:
 # --- hashed words --------------------------------------------------------------
 
 _RNG = np.random.default_rng(20240501)
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
-_BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
+BYTES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
+FOLDED = BYTES.copy()
+FOLDED[ord("A") : ord("Z") + 1] = FOLDED[ord("a") : ord("z") + 1]
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-_STEP = [np.uint64(x | 1) for x in _RNG.integers(1, 1 << 63, 8, dtype=np.uint64)]
+STEP = [np.uint64(x | 1) for x in _RNG.integers(1, 1 << 63, 8, dtype=np.uint64)]
 POWERS: dict[int, np.ndarray] = {}
 
 
@@ -107,24 +109,44 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts, A-Z as a-z, and the first word's place of each text.
+@dataclass
+class Spans:
+    """Stretches of a byte buffer: which bytes lie in words, where stretches begin and end, and the
+    place of every text's first one."""
 
-    Words are maximal runs without the bytes 0x20 and 0x09 to 0x0D.
-    """
-    data, offsets = text_bytes(texts)
+    word: np.ndarray | None
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray | None
+
+
+def spans(data: np.ndarray, offsets: np.ndarray) -> Spans:
+    """The words of all texts: maximal runs without the bytes 0x20 and 0x09 to 0x0D."""
     word = ~((data == 32) | ((data >= 9) & (data <= 13)))
     before = np.concatenate(([False], word[:-1]))
     after = np.concatenate((word[1:], [False]))
-    inner = offsets[:-1][offsets[:-1] < len(data)]
-    before[inner] = False
-    last = offsets[1:][offsets[1:] > 0] - 1
-    after[last] = False
+    if not len(data):
+        before = after = word
+    before[offsets[:-1][offsets[:-1] < len(data)]] = False
+    after[offsets[1:][offsets[1:] > 0] - 1] = False
     starts = np.flatnonzero(word & ~before)
     ends = np.flatnonzero(word & ~after) + 1
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * powers(BASE, len(data)))))
-    hashes = (sums[ends] - sums[starts]) * powers(BASE_INVERSE, len(data) + 1)[starts]
-    return mix(hashes + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offsets)
+    return Spans(word, starts, ends, np.searchsorted(starts, offsets))
+
+
+def text_hashes(data: np.ndarray, s: Spans, fold: bool) -> np.ndarray:
+    """64-bit hashes of stretches; with `fold`, A-Z count as a-z."""
+    values = (FOLDED if fold else BYTES)[data] * powers(BASE, len(data))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values)))
+    hashes = (sums[s.ends] - sums[s.starts]) * powers(BASE_INVERSE, len(data) + 1)[s.starts]
+    return mix(hashes + (s.ends - s.starts).astype(np.uint64))
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, A-Z as a-z, and the place of each text's first word."""
+    data, offsets = text_bytes(texts)
+    s = spans(data, offsets)
+    return text_hashes(data, s, True), s.first
 
 
 def shingle_hashes(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +164,7 @@ def shingle_hashes(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndar
     for k in range(width):
         inside = k < length
         place = np.where(inside, at + k, 0)
-        value = value * _STEP[0] + np.where(inside, words[place] if len(words) else 0, np.uint64(k + 1))
+        value = value * STEP[0] + np.where(inside, words[place] if len(words) else 0, np.uint64(k + 1))
     value = mix(value ^ length.astype(np.uint64))
     order = np.lexsort((value, doc))
     doc, value = doc[order], value[order]
@@ -154,7 +176,7 @@ def shingle_hashes(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndar
 
 def set_hashes(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """One 64-bit hash for the set of sorted values of each text; 0 for the empty set."""
-    sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(values * s)))) for s in _STEP[1:3]]
+    sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(values * s)))) for s in STEP[1:3]]
     a, b = ((s[first[1:]] - s[first[:-1]]) for s in sums)
     size = np.diff(first).astype(np.uint64)
     return np.where(size > 0, mix(a ^ mix(b + size)), np.uint64(0))
