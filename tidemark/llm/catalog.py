@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_dedup, packing, quality_rules, sharding, token_counts
+from tidemark.llm import bpe, line_dedup, packing, quality_cnn, quality_rules, sharding, token_counts
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,11 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(docs, vocabulary(BYTE_RANKS), pattern()))
 
 
+@query
+def op9_quality_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_cnn.report(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.histogram(documents(spark, folder), vocabulary(BYTE_RANKS), pattern())
