@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_dedup, packing, quality_cnn, quality_rules, sharding, token_counts
+from tidemark.llm import bpe, jaccard, line_dedup, packing, quality_cnn, quality_rules, sharding, token_counts
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, folder))
+
+
 @query
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder))
