@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, jaccard, line_dedup, neighbours, packing, quality_cnn, quality_rules, sharding, token_counts
+from tidemark.llm import bpe, jaccard, licences, line_dedup, neighbours, packing, quality_cnn, quality_rules, sharding, token_counts
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+@query
+def op1_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.report(documents(spark, folder))
+
+
 @query
 def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(spark.read.parquet(f"{folder}/embeddings.parquet"))

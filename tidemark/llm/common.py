@@ -120,9 +120,10 @@ class Spans:
     first: np.ndarray | None
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> Spans:
-    """The words of all texts: maximal runs without the bytes 0x20 and 0x09 to 0x0D."""
-    word = ~((data == 32) | ((data >= 9) & (data <= 13)))
+def spans(data: np.ndarray, offsets: np.ndarray, word: np.ndarray | None = None) -> Spans:
+    """The words of all texts: maximal runs without the bytes 0x20 and 0x09 to 0x0D, or of `word`."""
+    if word is None:
+        word = ~((data == 32) | ((data >= 9) & (data <= 13)))
     before = np.concatenate(([False], word[:-1]))
     after = np.concatenate((word[1:], [False]))
     if not len(data):
