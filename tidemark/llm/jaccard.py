@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, column, components, require, set_hashes, shingle_hashes, staged
+from tidemark.llm.common import chunks, column, components, fresh, require, set_hashes, shingle_hashes, staged
 
 WIDTH = 5
 # Two sets link when 100 * intersection >= PERCENT * union.
@@ -346,3 +346,24 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
         full.join(least, "component").select("doc_id", "n_shingles", "component_id")
         .unionByName(named.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     )
+
+
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without all but one of each component: the least id stays, of equal ids the
+    earlier row. Documents without words all stay. All columns are kept.
+
+    Give a table scan or staged rows: the row numbers of two passes must agree.
+    """
+    require(docs, id, text)
+    row = fresh(docs, "_row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    slim = numbered.select(F.col(row).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    doc_map, linked = link_classes(slim)
+    named = doc_map.join(linked, doc_map["set_id"] == linked["id"], "left").select(
+        F.col("doc_id").alias(row), "n", F.coalesce("component", "set_id").alias("component")
+    )
+    order = F.struct(F.col(id).alias("id"), F.col(row).alias("row"))
+    ids = numbered.select(row, id)
+    best = named.where("n > 0").join(ids, row).groupBy("component").agg(F.min(order).alias("best"))
+    stay = best.select(F.col("best.row").alias(row)).unionByName(named.where("n = 0").select(row))
+    return numbered.join(stay, row, "left_semi").drop(row)

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, require
+from tidemark.llm.common import SOLID, fresh, require
 
 WINDOW = 3
-# A character that is neither a blank nor one of tab to carriage return.
-SOLID = "[^\\x20\\x09-\\x0D]"
 
 
 def windows(docs: DataFrame, row: str, id: str, lines: str, width: int) -> DataFrame:

@@ -230,15 +230,16 @@ def apply_rules(docs: DataFrame, host: str = "source", text: str = "text") -> Da
     )
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     joined = numbered.join(verdict, row).drop(row)
-    at = docs.columns.index(text)
+    names = docs.columns
+    at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in chunks(column(batch, text)):
                 part = batch.slice(a, b - a)
                 cleaned = pa.array(without_lines(part.column(at), column(part, gone)), pa.string())
-                columns = [cleaned if i == at else part.column(i) for i in range(len(docs.columns))]
-                yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+                columns = [cleaned if i == at else part.column(i) for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return joined.mapInArrow(run, docs.schema)
 
