@@ -17,15 +17,20 @@ CAPACITY = 4096
 END_ID = 2
 # Pieces that one task packs; work grows with pieces times sequences of such a group.
 GROUP_PIECES = 16_384
-# Estimated cost of a piece: linear layers, and attention inside the piece.
-LINEAR, QUADRATIC = 1.0, 1.0 / 2048
+# A document's last piece is cut once more, at a multiple of this, so that pieces of one awkward
+# length (thousands of copies, say) still fill sequences.
+CUT = 1024
+# Estimated cost of a piece, in units of a token's linear layers of width 4096: attention inside the
+# piece takes 1 / (6 * width) of that per pair of tokens.
+LINEAR, QUADRATIC = 1.0, 1.0 / 24_576
 
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = f"{PIECE}, sequence_id bigint, offset bigint"
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END_ID) -> DataFrame:
-    """Ids of every whole text plus the end id, cut every `capacity` ids.
+    """Ids of every whole text plus the end id, cut every `capacity` ids, what is left at a multiple
+    of CUT.
 
     A null text counts as empty: its only id is the end id. Repeated rows give pieces each.
     """
@@ -42,15 +47,22 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
                     column(part, "doc_id").to_pylist(), vocabulary.encode_all(strings(part, "text")), strict=True
                 ):
                     data = np.concatenate((ids, last)).astype("<u4")
-                    for at in range(0, len(data), capacity):
-                        cut = data[at : at + capacity]
-                        rows.append((doc, at, len(cut), zlib.crc32(cut.tobytes()), len(data)))
+                    for at, to in cuts(len(data), capacity):
+                        rows.append((doc, at, to - at, zlib.crc32(data[at:to].tobytes()), len(data)))
                 columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 5
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, PIECE)
 
 
+def cuts(size: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
+    """Begin and end of a document's pieces."""
+    full = size // capacity * capacity
+    edges = {*range(0, full + 1, capacity), full + (size - full) // CUT * CUT, size}
+    edges = sorted(edges)
+    return list(zip(edges[:-1], edges[1:], strict=True))
+
+
 def costs(lengths: np.ndarray) -> np.ndarray:
     return LINEAR * lengths + QUADRATIC * lengths.astype(float) ** 2
 
