@@ -8,6 +8,12 @@ candidates, and a pair is verified only after it shares the smaller m of the two
 
 Shingles that a single class has can never match; they come first in every prefix, so a class with
 n - o + 1 or more of them has no partner at all and leaves after the frequency count.
+
+Only components are wanted, so most pairs of a group of copies need no look: every set first meets
+one set of each of its prefix shingles (a star per shingle), and what that links is one component.
+Sets of different components that share a shingle follow: pair by pair where few sets have the
+shingle, else in square blocks that compare all their sets at once and give a spanning forest of the
+links found.
 """
 
 from __future__ import annotations
@@ -16,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +35,9 @@ PERCENT = 80
 GROUP_BYTES = 12 << 20
 # Shingles a map task gathers before it hands them on.
 FLUSH = 3_000_000
+# Sets of a shingle that are joined pair by pair; more are compared in blocks of at most so many sets
+# and shared shingles a side.
+FEW, BLOCK_SETS, BLOCK_SHINGLES = 32, 1024, 2_000_000
 # Prefix matches tried at most, and the cost of a verification in units of one posting.
 MOST_MATCHES, VERIFY_COST = 8, 20
 
@@ -283,21 +293,103 @@ def star_pairs(posts: DataFrame) -> DataFrame:
 
 
 def cross_pairs(posts: DataFrame) -> DataFrame:
-    """Pairs of sets that share a prefix shingle and are not in one component yet.
+    """Pairs of sets of different components that share a prefix shingle of at most FEW sets.
 
-    `posts` has the component of each set. Shingles whose sets are all in one component are left out
-    before the join, so a group of copies gives no pairs among itself.
+    `posts` are those of shingles with several components. A pair that shares a shingle of more sets
+    as well is also found in that one's blocks, so the matches counted here are complete for all others.
     """
-    mixed = posts.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    rest = posts.join(mixed.select("token"), "token")
-    a = rest.select("token", *(F.col(c).alias(f"{c}_a") for c in ("set_id", "n", "s", "m", "component")))
-    b = rest.select("token", *(F.col(c).alias(f"{c}_b") for c in ("set_id", "n", "s", "m", "component")))
+    a = posts.select("token", *(F.col(c).alias(f"{c}_a") for c in ("set_id", "n", "s", "m", "component")))
+    b = posts.select("token", *(F.col(c).alias(f"{c}_b") for c in ("set_id", "n", "s", "m", "component")))
     return (
         a.join(b, "token").where("set_id_a < set_id_b and component_a <> component_b").where(_possible("a", "b"))
         .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"), F.least("m_a", "m_b").alias("need"))
     )
 
 
+def _lists(values: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of every element of a list column."""
+    flat = values.combine_chunks()
+    sizes = np.asarray(pa.compute.list_value_length(flat))
+    return np.repeat(np.arange(len(sizes)), sizes), np.asarray(flat.flatten())
+
+
+def _common(row: np.ndarray, value: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of values that rows `left` and rows `right` share, as a matrix."""
+    _, place, count = np.unique(value, return_inverse=True, return_counts=True)
+    twice = count[place] > 1
+    row, place = row[twice], np.unique(place[twice], return_inverse=True)[1]
+    result = np.zeros((len(left), len(right)), np.float32)
+    for begin in range(0, int(place.max(initial=-1)) + 1, 2048):
+        inside = (place >= begin) & (place < begin + 2048)
+        held = np.zeros((max(left.max(initial=0), right.max(initial=0), row.max(initial=0)) + 1, 2048), np.float32)
+        held[row[inside], place[inside] - begin] = 1
+        result += held[left] @ held[right].T
+    return result
+
+
+def link_block(table: pa.Table) -> pa.Table:
+    """A spanning forest of the links between two tiles of the sets that have one shingle.
+
+    A pair counts in the block of the first crowded shingle that both prefixes have, when the two
+    are not in one component, share as many prefix shingles as needed and could link by size.
+    """
+    token, i, j = (table.column(c)[0].as_py() for c in ("token", "i", "j"))
+    ids, n, m, component, tile = (
+        np.asarray(table.column(c)) for c in ("set_id", "n", "m", "component", "tile")
+    )
+    left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+    row, crowded = _lists(table.column("crowded"))
+    earlier = _common(row[crowded < token], crowded[crowded < token], left, right)
+    matches = _common(*_lists(table.column("prefix")), left, right)
+    s = np.asarray(pa.compute.list_value_length(table.column("shared").combine_chunks()))
+    most = np.minimum(s[left][:, None], s[right][None, :])
+    both = n[left][:, None] + n[right][None, :]
+    wanted = (
+        (earlier == 0) & (matches >= np.minimum(m[left][:, None], m[right][None, :]))
+        & (component[left][:, None] != component[right][None, :]) & (100 * most >= PERCENT * (both - most))
+    )
+    if i == j:
+        wanted = np.triu(wanted, 1)
+    used = np.flatnonzero(wanted.any(axis=1))
+    edges = []
+    if len(used):
+        shared = _common(*_lists(table.column("shared")), left[used], right)
+        linked = wanted[used] & (100 * shared >= PERCENT * (both[used] - shared))
+        root = np.arange(len(ids))
+        for a, line in zip(left[used], linked, strict=True):
+            partners = right[line]
+            for r in np.unique(root[partners]):
+                if r != root[a]:
+                    edges.append((int(ids[a]), int(ids[partners[np.argmax(root[partners] == r)]])))
+                    root[root == r] = root[a]
+    x, y = zip(*edges, strict=True) if edges else ((), ())
+    return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+
+
+def block_links(posts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of sets of different components that share a shingle of more than FEW sets.
+
+    A crowded shingle's sets are dealt into tiles by a hash, and every pair of tiles is a group of its
+    own, so no task holds more than two tiles however many sets have the shingle.
+    """
+    tiles = F.greatest(F.ceil(F.col("k") / BLOCK_SETS), F.ceil(F.col("volume") / BLOCK_SHINGLES))
+    crowded = posts.groupBy("set_id").agg(
+        F.first("component").alias("component"), F.collect_list(F.struct("token", tiles.alias("tiles"))).alias("at")
+    )
+    rows = (
+        crowded.join(sets.select("set_id", "n", "m", "prefix", "shared"), "set_id")
+        .withColumn("crowded", F.col("at.token")).withColumn("at", F.explode("at"))
+        .withColumn("token", F.col("at.token"))
+        .withColumn("tile", F.pmod(F.xxhash64("set_id"), "at.tiles"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("at.tiles") - 1)))
+        .select(
+            "token", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile",
+            "set_id", "n", "m", "component", "crowded", "prefix", "shared",
+        )
+    )
+    return rows.groupBy("token", "i", "j").applyInArrow(link_block, "a bigint, b bigint")
+
+
 def link_classes(docs: DataFrame, width: int = WIDTH, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(doc_id, set_id, n) of every document, and (id, component) of every set that has a partner."""
     if parts is None:
@@ -319,8 +411,15 @@ def link_classes(docs: DataFrame, width: int = WIDTH, parts: int | None = None)
         "component", F.coalesce("component", "set_id")
     ).drop("id")
     posts = named.select("set_id", "n", F.size("shared").alias("s"), "m", "component", F.explode("prefix").alias("token"))
-    second = verified(matched(cross_pairs(posts)), sets)
-    return doc_map, components(first.unionByName(second))
+    # shingles of one component only have nothing left to find
+    mixed = posts.groupBy("token").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("k"), F.sum("s").alias("volume")
+    ).where("lo <> hi").drop("lo", "hi")
+    posts = staged(posts.join(mixed, "token"))
+    few = verified(matched(cross_pairs(posts.where(F.col("k") <= FEW))), sets)
+    many = block_links(posts.where(F.col("k") > FEW), sets)
+    links = staged(few.unionByName(many))
+    return doc_map, components(first.unionByName(links))
 
 
 def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
