@@ -29,8 +29,8 @@ TREES, LEAF_ROWS = 12, 256
 SAMPLE, PROBES, TARGET = 16_384, 200, 0.97
 # Least rows of the sample in a leaf.
 LEAF_SAMPLE = 8
-# Leaves that are scored together, and the most rows and queries of a block.
-JOINED_LEAVES, BLOCK_ROWS, BLOCK_QUERIES = 16, 8192, 8192
+# Leaves that are scored together, and the most bytes of rows, and of queries, in a block.
+JOINED_LEAVES, BLOCK_BYTES = 32, 16 << 20
 EVERY = 20
 # Candidates kept beyond those asked for while block scores differ in the last bits.
 SPARE = 12
@@ -174,40 +174,51 @@ def _list(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.Record
 
 
 def best_of_block(k: int):
-    """Score the queries of a block against the rows of the leaves that each one visits."""
+    """Score the queries of a block against the rows of the leaves that each one visits; the best of
+    all these leaves are sent on."""
 
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
-        fields = [("query", pa.binary()), ("key", pa.binary()), ("score", pa.float64())]
-        rows: list[tuple] = []
+        asked, found, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         if index.num_rows and queries.num_rows:
             vectors, leaf = _matrix(index.column("vec")), np.asarray(index.column("leaf"))
             least = np.asarray(index.column("least"))
-            keys, names = index.column("key").to_pylist(), queries.column("key").to_pylist()
             wanted, visits = _matrix(queries.column("vec")), queries.column("leaves").to_pylist()
-            found: list[list[np.ndarray]] = [[] for _ in names]
+            near: list[list[np.ndarray]] = [[] for _ in visits]
             by_leaf: dict[int, list[int]] = {}
             for i, leaves in enumerate(visits):
                 for x in leaves:
                     by_leaf.setdefault(x, []).append(i)
+            order = np.argsort(leaf, kind="stable")
             for x, asking in by_leaf.items():
-                at = np.flatnonzero(leaf == x)
+                at = order[slice(*np.searchsorted(leaf[order], (x, x + 1)))]
                 if not len(at):
                     continue
-                scores = wanted[asking] @ vectors[at].T
                 if len(at) > k + SPARE:
-                    top = np.argpartition(-scores, k + SPARE - 1, axis=1)[:, : k + SPARE]
+                    score = wanted[asking] @ vectors[at].T
+                    top = np.argpartition(-score, k + SPARE - 1, axis=1)[:, : k + SPARE]
+                    for i, places in zip(asking, at[top], strict=True):
+                        near[i].append(places)
                 else:
-                    top = np.tile(np.arange(len(at)), (len(asking), 1))
-                for i, places in zip(asking, at[top], strict=True):
-                    found[i].append(places)
-            for i, parts in enumerate(found):
+                    for i in asking:
+                        near[i].append(at)
+            for i, parts in enumerate(near):
                 if parts:
                     places = np.concatenate(parts)
                     # the same sum for a pair wherever it is computed
                     exact = np.einsum("ij,ij->i", vectors[places], np.broadcast_to(wanted[i], (len(places), wanted.shape[1])))
-                    order = np.lexsort((least[places], -exact))[:k]
-                    rows += [(names[i], keys[places[o]], float(exact[o])) for o in order]
-        return pa.Table.from_batches([_list(rows, fields)])
+                    best = np.lexsort((least[places], -exact))[:k]
+                    asked.append(np.full(len(best), i))
+                    found.append(places[best])
+                    scores.append(exact[best])
+        rows = np.concatenate(found)
+        return pa.table(
+            {
+                "query": queries.column("key").take(pa.array(np.concatenate(asked))),
+                "key": index.column("key").take(pa.array(rows)),
+                "least": index.column("least").take(pa.array(rows)),
+                "score": pa.array(np.concatenate(scores)),
+            }
+        )
 
     return run
 
@@ -288,10 +299,11 @@ def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
         to_visits, "block bigint, leaves array<bigint>, key binary, vec binary"
     ))
     # one row per block, at most TREES * SAMPLE / LEAF_SAMPLE / JOINED_LEAVES of them
+    most = max(1024, BLOCK_BYTES // (8 * max(dims, 1)))
     sizes = (
-        index.groupBy("block").agg(F.count("*").alias("n")).withColumn("row_parts", F.ceil(F.col("n") / BLOCK_ROWS))
+        index.groupBy("block").agg(F.count("*").alias("n")).withColumn("row_parts", F.ceil(F.col("n") / most))
         .join(visits.groupBy("block").agg(F.count("*").alias("q")), "block")
-        .select("block", "row_parts", F.ceil(F.col("q") / BLOCK_QUERIES).alias("query_parts"))
+        .select("block", "row_parts", F.ceil(F.col("q") / most).alias("query_parts"))
     )
     sizes = F.broadcast(staged(sizes))
     to = F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1))
@@ -304,12 +316,12 @@ def search(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
     on = ["block", "row_part", "query_part"]
     scored = index.select(*on, "leaf", "key", "vec", "least").groupBy(*on).cogroup(
         visits.select(*on, "leaves", "key", "vec").groupBy(*on)
-    ).applyInArrow(best_of_block(k + 1), "query binary, key binary, score double")
+    ).applyInArrow(best_of_block(k + 1), "query binary, key binary, least bigint, score double")
 
-    found = scored.groupBy("query", "key").agg(F.max("score").alias("score"))
+    found = scored.groupBy("query", "key").agg(F.max("score").alias("score"), F.first("least").alias("least"))
     one = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "least"))
     found = (
-        found.join(classes.select("key", "least", "ids"), "key").withColumn("nth", one).where(f"nth <= {k + 1}")
+        found.withColumn("nth", one).where(f"nth <= {k + 1}").join(classes.select("key", "ids"), "key")
         .select("query", "score", F.explode("ids").alias("vec_id"))
     )
     each = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
