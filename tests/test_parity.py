@@ -6,9 +6,10 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.parity import connect, differences
+from tidemark.plans import oracle
+from tidemark.plans.catalog import QUERIES
 
 SQL = oracle_sql()
-MODEL_QUERIES = {"train_lr", "train_gbt", "batch_score"}
 
 
 @pytest.fixture(scope="module")
@@ -16,12 +17,12 @@ def duck(data):
     return connect(data)
 
 
-def test_all_but_model_queries_have_a_twin():
-    assert queries().keys() - SQL.keys() == MODEL_QUERIES
+def test_all_queries_have_a_twin():
+    assert QUERIES.keys() == oracle.oracle_sql().keys()
     assert not SQL.keys() - queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_equals_sql(spark, data, duck, name):
     assert differences(queries()[name](spark, data), duck, SQL[name]) == []
 

@@ -114,9 +114,11 @@ def test_readers(spark, deliveries, backfill, tmp_path):
 def test_csv_columns_are_matched_by_name(spark, tmp_path):
     path = tmp_path / "swapped.csv"
     path.write_text("snapshot_date,Customer_ID\n2024-01-01,a\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        small = schemas.T.StructType([schemas.ATTRIBUTES["Customer_ID"], schemas.ATTRIBUTES["snapshot_date"]])
-        files.read_table(spark, str(path), small).collect()
+    small = schemas.T.StructType([schemas.ATTRIBUTES["Customer_ID"], schemas.ATTRIBUTES["snapshot_date"]])
+    got = files.read_table(spark, str(path), small)
+    assert got.columns == ["Customer_ID", "snapshot_date"] and got.first() == ("a", "2024-01-01")
+    with pytest.raises(ValueError, match="loan_id"):
+        files.read_table(spark, str(path), schemas.LOANS)
 
 
 def test_history_upsert_rewrites_touched_periods(spark, tmp_path):
@@ -129,6 +131,41 @@ def test_history_upsert_rewrites_touched_periods(spark, tmp_path):
     assert got == {("a", "2024-01"): 0.9, ("b", "2024-01"): 0.2, ("a", "2024-02"): 0.3, ("a", "2024-03"): 0.5}
 
 
+def test_first_history_write_keeps_the_last_of_each_key(spark, tmp_path):
+    rows = [("m", "a", 0.1, "2024-01"), ("m", "a", 0.2, "2024-01"), ("m", "b", 0.3, "2024-01")]
+    first = spark.createDataFrame(rows, "model_name string, feature string, psi double, period_month string").coalesce(1)
+    got = files.upsert_history(first, str(tmp_path / "h"), ["model_name", "feature", "period_month"])
+    assert {(r["feature"], r["psi"]) for r in got.collect()} == {("a", 0.2), ("b", 0.3)}
+
+
+def test_a_month_that_comes_out_empty_loses_its_rows(spark, tmp_path):
+    folder = str(tmp_path / "table")
+    rows = spark.createDataFrame([(1, MONTHS[0]), (2, MONTHS[1])], "v int, snapshot_date date")
+    files.write_snapshots(rows, folder)
+    files.write_snapshots(rows.where("v > 5"), folder, [MONTHS[1], MONTHS[2]])
+    assert [r["v"] for r in files.read_snapshots(spark, folder).collect()] == [1]
+
+
+def test_rerun_without_clean_rows_empties_all_layers(spark, deliveries, tmp_path):
+    layout = medallion.Layout(str(tmp_path / "lake"))
+    medallion.run(spark, deliveries, layout, MONTHS[0])
+    again = {}
+    for source, path in deliveries.items():
+        again[source] = str(tmp_path / f"{source}.csv")
+        frame = spark.read.option("header", True).csv(path).where("snapshot_date = '2023-01-01'")
+        if source == "fe_attributes":
+            frame = frame.withColumn("Customer_ID", F.lit(None).cast("string"))
+        if source == "lms":
+            frame = frame.withColumn("installment_num", F.lit("3"))
+        files.write_csv(frame, again[source])
+    quarantined = files.read_snapshots(spark, layout.quarantine("fe_attributes")).count()
+    medallion.run(spark, again, layout, MONTHS[0])
+    assert files.read_snapshots(spark, layout.quarantine("fe_attributes")).count() > quarantined
+    empty = spark.createDataFrame([], "Customer_ID string, snapshot_date date")
+    assert files.read_snapshots(spark, layout.silver("fe_attributes"), schema=empty.schema).count() == 0
+    assert files.read_snapshots(spark, layout.gold("label_surrogate"), schema=empty.schema).count() == 0
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     landing, table, state = (str(tmp_path / n) for n in ("landing", "bronze", "state"))
     spark.range(5).selectExpr(*[f"cast(id as string) as {c}" for c in schemas.LOANS.fieldNames()[:-1]], "'2024-01-01' as snapshot_date").write.option("header", True).csv(landing)
@@ -217,7 +254,11 @@ def test_model_loop(spark, split_frame, tmp_path):
     assert run.performance.first()["n_rows"] == 200 and run.performance.first()["auc"] > 0.9
     assert run.decision.count() == 1
     rerun = monitoring.monitor(loaded, store, primary, current, reference, str(tmp_path / "monitor"))
-    assert rerun.stability.count() == 3 and rerun.performance.count() == 1
+    assert rerun.stability.count() == 3 and rerun.performance.count() == 1 and rerun.scores.count() == 1
+    early = monitoring.monitor(loaded, store, primary.limit(0), current, reference, str(tmp_path / "early"))
+    row = early.performance.first()
+    assert row["n_rows"] == 200 and row["auc"] is None and row["n_pos"] is None
+    assert early.scores.first()["score_mean"] > 0
 
 
 def test_boosted_trees_take_missing_values(split_frame):

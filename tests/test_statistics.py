@@ -79,6 +79,40 @@ def test_auc_against_all_pairs(spark):
     assert whole["auc"] == pytest.approx(brute_auc([(s, y) for _, s, y in rows]), abs=1e-12)
 
 
+def test_nan_scores_count_as_missing(spark):
+    rows = [(0.1, 0), (0.2, 0), (0.8, 1), (0.9, 1), (math.nan, 1), (None, 0)]
+    row = metrics.auc_gini(spark.createDataFrame(rows, "s double, y int"), (), "s", "y").first()
+    assert (row["auc"], row["n_pos"], row["n_neg"]) == (1.0, 2, 2)
+
+
+def test_predictions_meet_their_own_outcome_month(spark):
+    scores = spark.createDataFrame(
+        [("c", "2024-01-01", 0.9), ("c", "2024-02-01", 0.2), ("c", "2024-03-01", 0.4), ("d", "2024-01-01", 0.3)],
+        "Customer_ID string, d string, model_predictions double",
+    ).selectExpr("Customer_ID", "cast(d as date) as snapshot_date", "'m' as model_name", "model_predictions")
+    labels = spark.createDataFrame(
+        [("c", "2024-07-01", 1), ("c", "2024-07-01", 0), ("c", "2024-08-01", 0), ("e", "2024-07-01", 1)],
+        "Customer_ID string, d string, label int",
+    ).selectExpr("Customer_ID", "cast(d as date) as snapshot_date", "label")
+    joined = [(str(r["snapshot_date"]), r["label"]) for r in metrics.join_labels(scores, labels).collect()]
+    assert sorted(joined) == [("2024-01-01", 0), ("2024-01-01", 1), ("2024-02-01", 0)]
+    rows = {str(r["snapshot_date"]): r for r in metrics.performance_history(scores, labels, "PROD").collect()}
+    assert (rows["2024-01-01"]["n_rows"], rows["2024-01-01"]["auc"]) == (2, 0.5)
+    late = rows["2024-03-01"]
+    assert (late["n_rows"], late["auc"], late["accuracy"], late["n_pos"]) == (1, None, None, None)
+
+
+def test_reports_keep_models_apart(spark):
+    schema = "model_name string, type string, period_month string, feature string, psi double"
+    rows = [(m, "CSI", p, f, x) for m, s in (("a", 1.0), ("b", 5.0)) for p in ("2024-01", "2024-02") for f, x in (("u", s), ("v", s / 2))]
+    history = spark.createDataFrame(rows, schema)
+    assert {(r["model_name"], r["feature"], r["max_psi"]) for r in drift.stability_summary(history).collect()} == {
+        ("a", "u", 1.0), ("a", "v", 0.5), ("b", "u", 5.0), ("b", "v", 2.5)}
+    top = drift.top_drifting(history, 1)
+    assert {(r["model_name"], r["feature"]) for r in top.collect()} == {("a", "u"), ("b", "u")}
+    assert "SinglePartition" not in top._jdf.queryExecution().executedPlan().toString()
+
+
 def test_classification_clip_and_threshold(spark):
     frame = spark.createDataFrame([("m", 1.0, 1), ("m", 0.0, 1), ("m", 0.5, 1), ("m", 0.2, 0)], "g string, model_predictions double, label int")
     row = metrics.classification_metrics(frame, ["g"]).first()

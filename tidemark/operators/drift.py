@@ -164,16 +164,17 @@ def drift_timeline(history: DataFrame, model_name: str) -> DataFrame:
 
 
 def stability_summary(history: DataFrame) -> DataFrame:
-    """Largest and mean index per feature over all months; empty with a single month of history."""
-    per_feature = history.groupBy("type", "feature").agg(
+    """Largest and mean index per model and feature over all months; a model with a single month of
+    history has no rows."""
+    per_feature = history.groupBy("model_name", "type", "feature").agg(
         F.max("psi").alias("max_psi"),
         F.avg("psi").alias("mean_psi"),
         F.count_distinct("period_month").alias("n_months"),
         F.min("period_month").alias("_first"),
         F.max("period_month").alias("_last"),
     )
-    # One row per feature by now, so a window over all of them is small.
-    everywhere = Window.partitionBy(F.lit(0))
+    # One row per feature by now, so a window over a model's features is small.
+    everywhere = Window.partitionBy("model_name")
     several = F.min("_first").over(everywhere) < F.max("_last").over(everywhere)
     return (
         per_feature.withColumn("_several", several)
@@ -184,12 +185,12 @@ def stability_summary(history: DataFrame) -> DataFrame:
 
 
 def top_drifting(history: DataFrame, k: int = 10) -> DataFrame:
-    """All rows of the k features with the largest index; ties go to the smaller name.
+    """All rows of each model's k features with the largest index; ties go to the smaller name.
 
-    A history has one row per model, feature and month, so ranking features by a window is cheap
-    and the history behind it is computed once.
+    Only one row per model and feature is ranked; its rank limit is applied before the shuffle too.
     """
-    worst = F.max("psi").over(Window.partitionBy("feature"))
-    by_worst = Window.partitionBy(F.lit(0)).orderBy(F.desc("_worst"), "feature")
-    ranked = history.withColumn("_worst", worst).withColumn("_rank", F.dense_rank().over(by_worst))
-    return ranked.where(F.col("_rank") <= k).drop("_worst", "_rank").orderBy("feature", "period_month")
+    worst = history.groupBy("model_name", "feature").agg(F.max("psi").alias("_worst"))
+    by_worst = Window.partitionBy("model_name").orderBy(F.desc("_worst"), "feature")
+    top = worst.withColumn("_rank", F.row_number().over(by_worst)).where(F.col("_rank") <= k)
+    kept = history.join(top.select("model_name", "feature"), ["model_name", "feature"], "left_semi")
+    return kept.select(*history.columns).orderBy("model_name", "feature", "period_month")

@@ -72,8 +72,12 @@ def carry_forward(
     summary of one row per slice carries runs across slice borders. So a key with a large
     share of all rows is spread over as many tasks as it has slices.
     """
-    rows = df.withColumns({"_slice": slice_by, "_value": F.struct(value.alias("v"))})
-    in_slice = Window.partitionBy(key, "_slice").orderBy(*order)
+    # Structs are never NULL, so NULL keys join by plain equality and the window's partitioning
+    # serves the join as well.
+    rows = df.withColumns(
+        {"_key": F.struct(key), "_slice": F.struct(slice_by.alias("s")), "_value": F.struct(value.alias("v"))}
+    )
+    in_slice = Window.partitionBy("_key", "_slice").orderBy(*order)
     so_far = in_slice.rowsBetween(Window.unboundedPreceding, 0)
     first = F.row_number().over(in_slice) == 1
     changed = ~F.col(source).eqNullSafe(F.lag(source).over(in_slice))
@@ -83,23 +87,19 @@ def carry_forward(
 
     # One row per (key, slice): how it begins, how it ends, and its last run start, if any.
     position = F.struct(*order)
-    ends = rows.groupBy(key, "_slice").agg(
+    ends = rows.groupBy("_key", "_slice").agg(
         F.max(F.when(F.col("_first"), F.struct(source, "_value"))).alias("_head"),
         F.max_by(F.struct(F.col(source).alias("s"), F.col("_local").alias("l")), position).alias("_tail"),
     )
-    along = Window.partitionBy(key).orderBy("_slice")
+    along = Window.partitionBy("_key").orderBy("_slice")
     head_source, head_value = F.col(f"_head.{source}"), F.col("_head._value")
     continues = (F.row_number().over(along) > 1) & head_source.eqNullSafe(F.lag("_tail.s").over(along))
     ends = ends.withColumn("_continues", continues)
     emitted = F.coalesce(F.col("_tail.l"), F.when(~F.col("_continues"), head_value))
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     entry = F.when(F.col("_continues"), F.last(emitted, ignorenulls=True).over(before)).otherwise(head_value)
-    borders = ends.select(key, "_slice", "_continues", entry.alias("_entry"))
-
-    matched = rows.join(
-        borders.withColumnsRenamed({key: "_key", "_slice": "_border"}),
-        F.col(key).eqNullSafe(F.col("_key")) & F.col("_slice").eqNullSafe(F.col("_border")),
-    )
+    borders = ends.select("_key", "_slice", "_continues", entry.alias("_entry"))
+    matched = rows.join(borders, ["_key", "_slice"])
     return matched.select(
         *df.columns,
         (F.col("_changed") | (F.col("_first") & ~F.col("_continues"))).alias("is_new"),

@@ -15,16 +15,18 @@ THRESHOLD = 0.5
 CLIP = 1e-7
 
 
-def join_labels(predictions: DataFrame, labels: DataFrame, on: Sequence[str] = ("Customer_ID",)) -> DataFrame:
-    """Scores with their outcomes. On the customer alone several loans give several rows;
-    pass more key columns to be stricter."""
-    outcome = labels.select(
-        "Customer_ID",
-        F.col("snapshot_date").alias("label_date"),
-        "label",
-        *[c for c in on if c not in ("Customer_ID", "label")],
-    )
-    return predictions.join(outcome, list(on), "inner")
+# Months from a prediction to the label that judges it.
+LABEL_SHIFT = 6
+
+
+def join_labels(predictions: DataFrame, labels: DataFrame, label_shift: int = LABEL_SHIFT) -> DataFrame:
+    """Scores with the outcomes of their own outcome month, `label_shift` months after the snapshot.
+
+    Several loans of a customer in that month give several rows, a score without an outcome none.
+    """
+    outcome = labels.select("Customer_ID", F.to_date("snapshot_date").alias("label_date"), "label")
+    due = predictions.withColumn("label_date", F.add_months("snapshot_date", label_shift))
+    return due.join(outcome, ["Customer_ID", "label_date"]).select(*predictions.columns, "label_date", "label")
 
 
 def log_loss(label: Column, score: Column) -> Column:
@@ -69,20 +71,27 @@ def auc_gini(
 
 
 def performance_history(
-    scored: DataFrame, period_tag: str, label_shift: int = 6, by: Sequence[str] = ("model_name", "snapshot_date")
+    predictions: DataFrame,
+    labels: DataFrame,
+    period_tag: str,
+    label_shift: int = LABEL_SHIFT,
+    by: Sequence[str] = ("model_name", "snapshot_date"),
 ) -> DataFrame:
-    """One tidy performance row per model and snapshot of labelled scores.
+    """One tidy performance row per model and snapshot of scores.
 
-    Accuracy and log-loss are sums over distinct scores, so they come out of the same pass that
-    ranks the scores for the AUC.
+    Rows are scores that met an outcome. A snapshot of which no score has an outcome yet counts all
+    its scores and has NULL metrics. Accuracy and log-loss are sums over distinct scores, so they
+    come out of the same pass that ranks the scores for the AUC.
     """
     by = list(by)
+    scored = join_labels(predictions, labels, label_shift)
     p = F.least(F.greatest(F.col("_v"), F.lit(CLIP)), F.lit(1 - CLIP))
     hits = F.when(F.col("_v") >= THRESHOLD, F.col("_pos")).otherwise(F.col("_neg"))
     loss = -(F.col("_pos") * F.log(p) + F.col("_neg") * F.log(1 - p))
     ranked = auc(scored, "model_predictions", "label", by, {"hits": hits, "loss": loss})
     judged = F.col("n_pos") + F.col("n_neg")
-    return ranked.select(
+    everyone = predictions.groupBy(*by).agg(F.count("*").alias("_all"))
+    return everyone.join(ranked, by, "left").select(
         *by,
         dates.performance_period(F.col("snapshot_date"), label_shift).alias("period_month"),
         F.lit(period_tag).alias("period_tag"),
@@ -90,7 +99,7 @@ def performance_history(
         F.try_divide("loss", judged).alias("logloss"),
         F.try_divide("hits", judged).alias("accuracy"),
         (F.col("auc") * 2 - 1).alias("gini"),
-        "n_rows",
+        F.coalesce("n_rows", "_all").alias("n_rows"),
         "n_pos",
         (F.col("n_rows") - F.col("n_pos")).alias("n_neg"),
     )

@@ -16,7 +16,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import split_dates
@@ -32,9 +32,7 @@ LR_SPACE = {
     "class_weight": ["none", "balanced"],
 }
 LR_DRAWS = 40
-# Each iteration here is a pass over the data (L-BFGS / OWL-QN), unlike a single-machine
-# coordinate-descent sweep, so the limit is the Spark default.
-LR_MAX_ITER = 100
+LR_MAX_ITER = 2000
 GBT_SPACE = {
     "n_estimators": [25, 50],
     "max_depth": [2, 3],
@@ -90,8 +88,6 @@ def train(
 ) -> TrainedModel:
     """Random search with cross-validated AUC on the train split, refit on all of it.
 
-    A single draw has nothing to compare and is fitted directly.
-
     The prepared rows are placed and sorted by key, so that folds and subsamples repeat, and
     checkpointed once: every draw and fold reads them, and a lost executor must not recompute
     the feature joins. Only class counts reach the driver.
@@ -115,21 +111,17 @@ def train(
         raise ValueError(f"unknown model family: {family}")
     before = Pipeline(stages=stages).fit(rows)
     ready = before.transform(rows)
-    if len(maps) == 1:
-        best, cv_auc, model = 0, None, estimator.fit(ready, maps[0])
-    else:
-        search = CrossValidator(
-            estimator=estimator,
-            estimatorParamMaps=maps,
-            evaluator=BinaryClassificationEvaluator(numBins=0, metricName="areaUnderROC"),
-            numFolds=folds,
-            seed=SEARCH_SEED,
-            parallelism=parallelism,
-        ).fit(ready)
-        best = max(range(len(maps)), key=lambda i: search.avgMetrics[i])
-        cv_auc, model = search.avgMetrics[best], search.bestModel
-    pipeline = PipelineModel([*before.stages, model])
-    return TrainedModel(family, train_date, tuple(features), pipeline, draws[best], cv_auc)
+    search = CrossValidator(
+        estimator=estimator,
+        estimatorParamMaps=maps,
+        evaluator=BinaryClassificationEvaluator(numBins=0, metricName="areaUnderROC"),
+        numFolds=folds,
+        seed=SEARCH_SEED,
+        parallelism=parallelism,
+    ).fit(ready)
+    best = max(range(len(maps)), key=lambda i: search.avgMetrics[i])
+    pipeline = PipelineModel([*before.stages, search.bestModel])
+    return TrainedModel(family, train_date, tuple(features), pipeline, draws[best], search.avgMetrics[best])
 
 
 def _with_class_weights(rows: DataFrame, n: int, n_pos: int) -> DataFrame:
@@ -174,8 +166,26 @@ def _gbt_search(n_draws: int | None) -> tuple[Estimator, list[dict], list[dict]]
     return gbt, maps, draws
 
 
-def score(model: TrainedModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+@dataclass(frozen=True)
+class LinearModel:
+    """A logistic model given by its weights; a missing feature counts as 0."""
+
+    features: tuple[str, ...]
+    weights: tuple[float, ...]
+    intercept: float = 0.0
+
+    def probability(self) -> Column:
+        terms = (
+            F.lit(w) * F.coalesce(F.col(f).cast("double"), F.lit(0.0))
+            for f, w in zip(self.features, self.weights, strict=True)
+        )
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-sum(terms, F.lit(self.intercept))))
+
+
+def score(model: TrainedModel | LinearModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     """P(label = 1) as model_predictions next to the kept columns."""
+    if isinstance(model, LinearModel):
+        return rows.select(*keep, model.probability().alias("model_predictions"))
     held = rows.withColumns({f"_keep_{c}": F.col(c) for c in keep})
     scored = model.pipeline.transform(prepare(model.family, held, model.features))
     return scored.select(
@@ -197,7 +207,7 @@ def evaluate(model: TrainedModel, split: DataFrame) -> DataFrame:
 
 
 def batch_score(
-    model: TrainedModel,
+    model: TrainedModel | LinearModel,
     store: DataFrame,
     snapshot: dt.date,
     reference: Sequence[dt.date] = (),

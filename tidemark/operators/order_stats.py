@@ -1,6 +1,7 @@
 """Exact order statistics without collecting or globally sorting a column.
 
-Values are addressed by a monotone key, sign(v) * log1p(|v|), cut into ever finer buckets.
+Values are addressed by a monotone key, sign(v) * log1p(|v| * 2**60), cut into ever finer buckets:
+even over magnitudes down to 1e-18, linear below.
 Quantiles walk down: a bucket histogram (tiny after map-side aggregation) tells which buckets
 hold the wanted ranks, and only those are looked at more closely. AUC walks up: pairs are
 counted inside fine buckets, then between the children of each coarser bucket. No step
@@ -15,11 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Bucket widths as bits after the binary point of the monotone key, coarse to fine.
-RESOLUTIONS = (13, 26)
+RESOLUTIONS = (8, 22)
+# Magnitude from which on buckets follow the logarithm.
+SCALE = float(2**60)
 
 
 def _order_key(v: Column) -> Column:
-    return F.signum(v) * F.log1p(F.abs(v))
+    return F.signum(v) * F.log1p(F.abs(v) * F.lit(SCALE))
 
 
 def _bucket(key: Column, bits: int) -> Column:
@@ -143,13 +146,13 @@ def auc(
 ) -> DataFrame:
     """Exact area under the ROC curve per group, ties counted half; NULL for a single class.
 
-    Gives by..., n_rows, n_pos, n_neg, auc, sums.... Rows without score or label count in
-    n_rows only. `sums` are further totals, written over _v (the score), _pos and _neg (rows of
+    Gives by..., n_rows, n_pos, n_neg, auc, sums.... Rows without score (NULL or NaN) or label count
+    in n_rows only. `sums` are further totals, written over _v (the score), _pos and _neg (rows of
     each class with that score); they ride along in the same pass. Pair counts are doubles:
     exact up to 2**53 and relative to that precision beyond.
     """
     by, sums = list(by), dict(sums or {})
-    v, y = F.col(score).cast("double"), F.col(label).cast("int")
+    v, y = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double")), F.col(label).cast("int")
     level = (
         df.select(*by, v.alias("_v"), y.alias("_y"))
         .groupBy(*by, "_v")

@@ -18,8 +18,11 @@ def at_snapshot(df: DataFrame, day: dt.date, column: str = "snapshot_date") -> D
 
 
 def in_range(df: DataFrame, start: dt.date, end: dt.date, column: str = "snapshot_date") -> DataFrame:
-    """Rows between two dates, both included."""
-    return df.where(F.col(column).between(F.lit(start), F.lit(end)))
+    """Rows between two dates, both included, the last day to its end."""
+    inside = F.col(column) >= F.lit(start)
+    if end < dt.date.max:
+        inside = inside & (F.col(column) < F.lit(end + dt.timedelta(days=1)))
+    return df.where(inside)
 
 
 def in_month(df: DataFrame, month: dt.date, column: str) -> DataFrame:

@@ -33,7 +33,6 @@ from tidemark.operators import (
 from tidemark.plans import fixtures as fx
 from tidemark.plans import gold, silver
 from tidemark.rules import LabelRule
-from tidemark.session import checkpointed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,8 +108,9 @@ def _surrogate(spark, d, financials=None):
 
 
 def _training(spark, d):
-    # Both the store and the surrogate label start from this table.
-    financials = checkpointed(_gold_financials(spark, d))
+    # Both the store and the surrogate label start from this table; a date range on the result
+    # reaches the scans of both.
+    financials = _gold_financials(spark, d)
     return dataset.training_set(
         _store(spark, d, financials),
         labels.primary_label(_loans(spark, d)),
@@ -122,11 +122,15 @@ def _training(spark, d):
 def _split(spark, d):
     days = dates.split_dates(TRAIN_DATE)
     rows = snapshots.in_range(_training(spark, d), days.train_start, days.oot_end)
-    return dataset.split_train_test_oot(checkpointed(rows), TRAIN_DATE)
+    return dataset.split_train_test_oot(rows, TRAIN_DATE)
 
 
 def _scored(spark, d):
-    return metrics.join_labels(fx.scores(spark, d), labels.primary_label(_loans(spark, d)))
+    return metrics.join_labels(fx.monthly_scores(spark, d), fx.outcomes(spark, d))
+
+
+def _performance(spark, d):
+    return metrics.performance_history(fx.monthly_scores(spark, d), fx.outcomes(spark, d), "PROD")
 
 
 def _score_rows(spark, d):
@@ -197,6 +201,12 @@ def scan_snapshot_range(spark, d):
     return ranged.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("snapshot_date"))
 
 
+@query
+def scan_timestamp_range(spark, d):
+    days = dt.date(2024, 1, 5), dt.date(2024, 1, 9)
+    return snapshots.in_range(fx.table(spark, d, "events"), *days, "ts").select("event_id", "user_id")
+
+
 @query
 def snapshot_range(spark, d):
     ranges = [
@@ -671,7 +681,7 @@ def winsorize_cap(spark, d):
 
 @query
 def correlation_matrix(spark, d):
-    numbers = checkpointed(_financials(spark, d).select(*CORRELATED))
+    numbers = _financials(spark, d).select(*CORRELATED)
     capped = profiling.winsorize(numbers, CAPPED, 0.95)
     return rounded(profiling.correlation_pairs(capped, CORRELATED), "corr")
 
@@ -705,16 +715,26 @@ def auc_gini(spark, d):
     return rounded(found, "auc", "gini")
 
 
+@query
+def auc_tiny_scores(spark, d):
+    """Saturated probabilities, and NaN scores, which count as missing."""
+    labelled = fx.table(spark, d, "labels").join(
+        fx.table(spark, d, "documents").select("doc_id", "lang", "n_chars"), "doc_id"
+    )
+    tiny = labelled.withColumn(
+        "score", F.expr("case when doc_id % 50 = 0 then double('NaN') else n_chars * 1e-14D end")
+    )
+    return rounded(metrics.auc_gini(tiny, ["lang"], score="score", label="quality"), "auc", "gini")
+
+
 @query
 def performance_history(spark, d):
-    found = metrics.performance_history(_scored(spark, d), "PROD")
-    return rounded(found, "auc", "logloss", "accuracy", "gini")
+    return rounded(_performance(spark, d), "auc", "logloss", "accuracy", "gini")
 
 
 @query
 def metrics_unpivot(spark, d):
-    perf = metrics.performance_history(_scored(spark, d), "PROD")
-    tall = metrics.metric_timeline(perf, ["auc", "logloss", "accuracy", "gini", "n_rows"], "PROD")
+    tall = metrics.metric_timeline(_performance(spark, d), ["auc", "logloss", "accuracy", "gini", "n_rows"], "PROD")
     return rounded(tall, "value")
 
 
@@ -773,10 +793,9 @@ def csi_topk_features(spark, d):
 
 @query
 def retrain_decision(spark, d):
-    runs = fx.scores(spark, d).select("model_name", "snapshot_date").distinct()
-    perf = metrics.performance_history(_scored(spark, d), "PROD")
+    runs = fx.monthly_scores(spark, d).select("model_name", "snapshot_date").distinct()
     return decision.retrain_decision(
-        runs, perf, _stability(spark, d), retrain_from=dt.date(2023, 6, 1)
+        runs, _performance(spark, d), _stability(spark, d), retrain_from=dt.date(2023, 6, 1)
     )
 
 
@@ -841,27 +860,56 @@ def carry_forward_unchanged(spark, d):
 
 # --- models -------------------------------------------------------------------------------
 
+# A given model: scoring is tested apart from training.
+GIVEN_MODEL = models.LinearModel(
+    ("Age_Group", "Annual_Income_Group", "crs", "dti", "fe_1", "fe_2"), (0.3, -0.2, 0.05, 1.5, 0.01, -0.02), -0.4
+)
+
 
-def _trained(spark, d, family: str, n_draws: int):
-    split = checkpointed(_split(spark, d))
-    return models.train(family, split, codes.DEFAULT_FEATURES, TRAIN_DATE, n_draws), split
+@query
+def batch_score(spark, d):
+    scored = models.batch_score(
+        GIVEN_MODEL, _store(spark, d), dt.date(2024, 4, 1), [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
+    )
+    return rounded(scored, "model_predictions")
 
 
 @query
-def train_lr(spark, d):
-    model, split = _trained(spark, d, "model_lr", 2)
-    return models.evaluate(model, split)
+def file_name_parts(spark, d):
+    names = fx.table(spark, d, "orders").selectExpr(
+        "o_orderkey",
+        """concat(case o_orderkey % 3 when 0 then 'model_lr' when 1 then 'prod_predictions' else 'odd name' end,
+            case when o_orderkey % 7 = 0 then '' else date_format(o_orderdate, '_yyyy_MM_dd') end,
+            case when o_orderkey % 2 = 0 then '.parquet' else '' end) as name""",
+    )
+    return names.select("o_orderkey", dates.name_date(F.col("name")).alias("day"), dates.name_family(F.col("name")).alias("family"))
 
 
 @query
-def train_gbt(spark, d):
-    model, split = _trained(spark, d, "model_gbt", 1)
-    return models.evaluate(model, split)
+def any_null_rows(spark, d):
+    raw = fx.raw_financials(spark, d)
+    columns = ["Type_of_Loan", "Annual_Income"]
+    return raw.where(quality.any_null(columns)).select("Customer_ID", "snapshot_date")
 
 
 @query
-def batch_score(spark, d):
-    model, _ = _trained(spark, d, "model_lr", 1)
-    return models.batch_score(
-        model, _store(spark, d), dt.date(2024, 4, 1), [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
-    )
+def numeric_coercion(spark, d):
+    columns = ["Annual_Income", "Changed_Credit_Limit", "Monthly_Balance"]
+    return typing.to_numeric(fx.raw_financials(spark, d), columns).select("Customer_ID", "snapshot_date", *columns)
+
+
+@query
+def approx_quantiles(spark, d):
+    """Whether the one-pass quantiles lie within a hundredth of their ranks."""
+    columns, shares = ["l_quantity", "l_extendedprice", "l_discount"], [0.05, 0.25, 0.5, 0.75, 0.95]
+    lines = fx.table(spark, d, "lineitem")
+    found = order_stats.approx_quantiles(lines, columns, shares)
+    cells = found.select(F.col("feature").alias("column_name"), F.posexplode("quantiles").alias("i", "q"))
+    rows = order_stats.unpivot(lines, columns).withColumnRenamed("feature", "column_name")
+    ranked = rows.join(F.broadcast(cells), "column_name").groupBy("column_name", "i").agg(
+        F.count("*").alias("n"), F.count_if(F.col("value") < F.col("q")).alias("below"),
+        F.count_if(F.col("value") <= F.col("q")).alias("up_to"),
+    )
+    share = F.get(F.array(*[F.lit(p) for p in shares]), F.col("i"))
+    near = (F.col("below") <= (share + 0.01) * F.col("n") + 1) & (F.col("up_to") >= (share - 0.01) * F.col("n") - 1)
+    return ranked.select("column_name", share.alias("share"), near.alias("is_near"))

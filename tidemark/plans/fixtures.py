@@ -136,3 +136,31 @@ def scores(spark: SparkSession, folder: str) -> DataFrame:
         "'prod_model' as model_name",
         "((c_custkey * 7919) % 10007) / 10007.0D as model_predictions",
     )
+
+
+def monthly_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of every customer in the cohort's first three months."""
+    base = table(spark, folder, "customer").selectExpr("c_custkey as k", "explode(sequence(0, 2)) as m")
+    return base.selectExpr(
+        "concat('CUS_', k) as Customer_ID",
+        f"add_months({_cohort_start('k')}, m) as snapshot_date",
+        "'prod_model' as model_name",
+        "((k * 7919 + m * 613) % 10007) / 10007.0D as model_predictions",
+    )
+
+
+def outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels six months after the scored months: one to three loans a customer, some customers without
+    one in a month, and no month from June 2025 on."""
+    base = (
+        table(spark, folder, "customer")
+        .selectExpr("c_custkey as k", "explode(sequence(0, 2)) as m")
+        .selectExpr("k", "m", "explode(sequence(0, cast(k % 3 as int))) as j")
+        .where("(k + m) % 4 <> 0")
+    )
+    return base.selectExpr(
+        "concat('CUS_', k, '_L', j) as loan_id",
+        "concat('CUS_', k) as Customer_ID",
+        f"add_months({_cohort_start('k')}, m + 6) as snapshot_date",
+        "cast((k * 31 + m * 17 + j * 7) % 5 = 0 as int) as label",
+    ).where("snapshot_date < date'2025-06-01'")

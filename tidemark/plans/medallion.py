@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,7 +61,9 @@ def ingest_bronze(
         dated = rows.withColumn("snapshot_date", F.col("snapshot_date").try_cast("date")).where(
             F.col("snapshot_date").isNotNull()
         )
-        write_snapshots(dated if snapshot is None else at_snapshot(dated, snapshot), layout.bronze(source))
+        # A delivery replaces its month also when it has no rows; a missing file leaves the table as it is.
+        months = None if snapshot is None or rows.isEmpty() else [snapshot]
+        write_snapshots(dated if snapshot is None else at_snapshot(dated, snapshot), layout.bronze(source), months)
 
 
 def _bronze_schema(source: str) -> T.StructType:
@@ -88,10 +90,22 @@ def build_silver(spark: SparkSession, layout: Layout, snapshot: dt.date | None =
     clean and the quarantine table are both written from them."""
     for source, (validate, finish) in _VALIDATED.items():
         checked = checkpointed(validate(bronze(spark, layout, source, snapshot)))
-        write_snapshots(finish(checked), layout.silver(source))
-        write_snapshots(quality.quarantined_rows(checked), layout.quarantine(source))
+        months = run_months(spark, layout, [source], snapshot)
+        write_snapshots(finish(checked), layout.silver(source), months)
+        write_snapshots(quality.quarantined_rows(checked), layout.quarantine(source), months)
     for source, finish in _PLAIN.items():
-        write_snapshots(finish(bronze(spark, layout, source, snapshot)), layout.silver(source))
+        months = run_months(spark, layout, [source], snapshot)
+        write_snapshots(finish(bronze(spark, layout, source, snapshot)), layout.silver(source), months)
+
+
+def run_months(
+    spark: SparkSession, layout: Layout, sources: Sequence[str], snapshot: dt.date | None
+) -> list[dt.date]:
+    """The months that a run rewrites: the given one, or all that bronze has (from folder names only)."""
+    if snapshot is not None:
+        return [snapshot]
+    found = [bronze(spark, layout, source, None).select("snapshot_date").distinct() for source in sources]
+    return sorted({r[0] for frame in found for r in frame.collect()})
 
 
 def silver_table(
@@ -162,14 +176,17 @@ def build_gold(
         gold.gold_clickstream(table("fe_clickstream", snapshot)),
         gold.gold_loans(loans),
     )
-    write_snapshots(store, layout.gold("feature_store"))
-    write_snapshots(gold.loan_type_counts(only(financials)), layout.gold("loan_type_counts"))
-    write_snapshots(gold.income_one_hot(only(financials)), layout.gold("income_one_hot"))
-    write_snapshots(
-        labels.primary_label(loans, rule, scored if rule.crs else None), layout.gold("label_primary")
-    )
-    stored = read_snapshots(spark, layout.gold("feature_store"), snapshot, snapshot)
-    write_snapshots(labels.surrogate_label(stored, rule), layout.gold("label_surrogate"))
+    rewritten = run_months(spark, layout, list(schemas.SOURCES), snapshot)
+
+    def write(df: DataFrame, name: str) -> None:
+        write_snapshots(df, layout.gold(name), rewritten)
+
+    write(store, "feature_store")
+    write(gold.loan_type_counts(only(financials)), "loan_type_counts")
+    write(gold.income_one_hot(only(financials)), "income_one_hot")
+    write(labels.primary_label(loans, rule, scored if rule.crs else None), "label_primary")
+    stored = read_snapshots(spark, layout.gold("feature_store"), snapshot, snapshot, store.schema)
+    write(labels.surrogate_label(stored, rule), "label_surrogate")
 
 
 def run(

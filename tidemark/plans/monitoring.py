@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import dates
 from tidemark.operators import decision, drift, metrics, models
 from tidemark.operators.order_stats import unpivot
 from tidemark.operators.typing import to_numeric
@@ -17,6 +18,7 @@ from tidemark.sources.files import upsert_history
 
 STABILITY_KEYS = ("model_name", "type", "feature", "period_month")
 PERFORMANCE_KEYS = ("model_name", "snapshot_date", "period_tag")
+SCORE_KEYS = ("model_name", "snapshot_date")
 
 
 @dataclass(frozen=True)
@@ -24,6 +26,7 @@ class MonitoringRun:
     predictions: DataFrame
     stability: DataFrame
     performance: DataFrame
+    scores: DataFrame
     decision: DataFrame
 
 
@@ -38,8 +41,9 @@ def monitor(
 ) -> MonitoringRun:
     """Score the snapshot and its reference months, then update both histories below `folder`.
 
-    `labels` are the outcomes already known for the snapshot's customers; without any, the
-    performance history stays as it is and only drift can trigger a retrain.
+    `labels` are the outcomes known so far. Without any of the snapshot's outcome month the
+    performance row has NULL metrics, and only drift can trigger a retrain. Score statistics need no
+    label and are always kept.
     """
     days = [F.lit(d) for d in reference]
     scored = checkpointed(models.batch_score(model, store, snapshot, reference, model_name))
@@ -57,13 +61,17 @@ def monitor(
     stability = upsert_history(drifted, f"{folder}/stability", STABILITY_KEYS)
     current = scored.where(F.col("snapshot_date") == F.lit(snapshot))
     performance = upsert_history(
-        metrics.performance_history(metrics.join_labels(current, labels), "PROD"),
-        f"{folder}/performance",
-        PERFORMANCE_KEYS,
+        metrics.performance_history(current, labels, "PROD"), f"{folder}/performance", PERFORMANCE_KEYS
+    )
+    stats = metrics.score_stats(current, SCORE_KEYS)
+    scores = upsert_history(
+        stats.withColumn("period_month", dates.period_month(F.col("snapshot_date"))),
+        f"{folder}/scores",
+        SCORE_KEYS,
     )
     runs = current.sparkSession.range(1).select(
         F.lit(model_name).alias("model_name"), F.lit(snapshot).alias("snapshot_date")
     )
     return MonitoringRun(
-        scored, stability, performance, decision.retrain_decision(runs, performance, stability)
+        scored, stability, performance, scores, decision.retrain_decision(runs, performance, stability)
     )

@@ -314,8 +314,24 @@ FROM (SELECT *, row_number() OVER (PARTITION BY label, part ORDER BY h) AS place
 
 # --- monitoring -------------------------------------------------------------------------
 
+_MONTHLY_SCORES = f"""
+SELECT 'CUS_' || k AS Customer_ID, {_months(_START.format(k='k'), 'm')} AS snapshot_date, 'prod_model' AS model_name,
+  ((k * 7919 + m * 613) % 10007) / 10007.0::DOUBLE AS model_predictions
+FROM (SELECT c_custkey AS k, m FROM customer, range(3) r(m))
+"""
+_OUTCOMES = f"""
+SELECT * FROM (
+  SELECT 'CUS_' || k || '_L' || j AS loan_id, 'CUS_' || k AS Customer_ID,
+    {_months(_START.format(k='k'), 'm + 6')} AS snapshot_date,
+    CASE WHEN (k * 31 + m * 17 + j * 7) % 5 = 0 THEN 1 ELSE 0 END AS label
+  FROM (SELECT c_custkey AS k, m, j FROM customer, range(3) r(m), range(3) s(j) WHERE j <= c_custkey % 3)
+  WHERE (k + m) % 4 <> 0)
+WHERE snapshot_date < DATE '2025-06-01'
+"""
 _SCORED = """
-SELECT s.*, p.snapshot_date AS label_date, p.label FROM scores s JOIN primary_label p USING (Customer_ID)
+SELECT s.*, o.snapshot_date AS label_date, o.label
+FROM monthly_scores s JOIN outcomes o
+  ON o.Customer_ID = s.Customer_ID AND o.snapshot_date = s.snapshot_date + INTERVAL 6 MONTH
 """
 
 
@@ -343,9 +359,11 @@ FROM (SELECT *, least(greatest(model_predictions, 1e-7), 1 - 1e-7) AS p FROM sco
 GROUP BY model_name, snapshot_date
 """
 _PERFORMANCE = f"""
-SELECT c.model_name, c.snapshot_date, strftime(c.snapshot_date + to_months(5), '%Y-%m') AS period_month,
-  'PROD' AS period_tag, a.auc, c.logloss, c.accuracy, 2 * a.auc - 1 AS gini, c.n_rows, c.n_pos, c.n_neg
-FROM classification c LEFT JOIN score_auc a ON a.snapshot_date = c.snapshot_date
+SELECT s.model_name, s.snapshot_date, strftime(s.snapshot_date + to_months(5), '%Y-%m') AS period_month,
+  'PROD' AS period_tag, a.auc, c.logloss, c.accuracy, 2 * a.auc - 1 AS gini, coalesce(c.n_rows, s.n) AS n_rows, c.n_pos, c.n_neg
+FROM (SELECT model_name, snapshot_date, count(*) AS n FROM monthly_scores GROUP BY 1, 2) s
+LEFT JOIN classification c ON c.model_name = s.model_name AND c.snapshot_date = s.snapshot_date
+LEFT JOIN score_auc a ON a.snapshot_date = s.snapshot_date
 """
 
 _STEPS = ", ".join(f"{i * (1.0 / 10)!r}::DOUBLE" for i in range(10)) + ", 1.0::DOUBLE"
@@ -442,6 +460,8 @@ _CTES: dict[str, str] = {
     "surrogate_label": _SURROGATE,
     "training": _TRAINING,
     "split_rows": _SPLIT,
+    "monthly_scores": _MONTHLY_SCORES,
+    "outcomes": _OUTCOMES,
     "scored": _SCORED,
     "classification": _CLASSIFICATION,
     "score_auc": _auc("scored", "snapshot_date", "model_predictions", "label"),
@@ -553,6 +573,8 @@ _BODIES: dict[str, str] = {
     "scan_project": "SELECT l_orderkey, l_linenumber, l_quantity, CAST(l_shipdate AS DATE) AS snapshot_date FROM lineitem",
     "snapshot_filter": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
         WHERE o_orderdate >= DATE '1997-03-01' AND o_orderdate < DATE '1997-04-01'""",
+    "scan_timestamp_range": """SELECT event_id, user_id FROM events
+        WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-10 00:00:00'""",
     "scan_snapshot_range": """SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS snapshot_date FROM orders
         WHERE o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1996-06-30'""",
     "snapshot_range": " UNION ALL ".join(
@@ -723,6 +745,26 @@ _BODIES: dict[str, str] = {
         FROM classification""",
     "auc_gini": f"""SELECT lang, n_pos, n_neg, round(auc, 6) AS auc, round(2 * auc - 1, 6) AS gini
         FROM ({_auc('(SELECT lang, n_chars, quality FROM labels JOIN documents USING (doc_id))', 'lang', 'n_chars', 'quality')})""",
+    "auc_tiny_scores": f"""SELECT lang, n_pos, n_neg, round(auc, 6) AS auc, round(2 * auc - 1, 6) AS gini
+        FROM ({_auc('(SELECT lang, n_chars, quality FROM labels JOIN documents USING (doc_id) WHERE doc_id % 50 <> 0)', 'lang', 'n_chars', 'quality')})""",
+    "batch_score": """SELECT Customer_ID, snapshot_date, 'prod_model' AS model_name, round(1 / (1 + exp(-(-0.4
+          + 0.3 * coalesce(Age_Group, 0) - 0.2 * coalesce(Annual_Income_Group, 0) + 0.05 * coalesce(crs, 0)
+          + 1.5 * coalesce(dti, 0) + 0.01 * coalesce(fe_1, 0) - 0.02 * coalesce(fe_2, 0)))), 6) AS model_predictions
+        FROM store WHERE mob = 0 AND snapshot_date IN (DATE '2024-04-01', DATE '2024-01-01', DATE '2024-02-01')
+          AND coalesce(Age_Group, Annual_Income_Group, crs, dti, fe_1, fe_2) IS NOT NULL""",
+    "file_name_parts": r"""SELECT o_orderkey,
+          CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day,
+          CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 3 = 0 THEN 'model_lr'
+            WHEN o_orderkey % 3 = 1 THEN 'prod_predictions' ELSE 'odd name' END AS family
+        FROM orders""",
+    "any_null_rows": """SELECT Customer_ID, snapshot_date FROM raw_financials
+        WHERE Type_of_Loan IS NULL OR Annual_Income IS NULL""",
+    "numeric_coercion": """SELECT Customer_ID, snapshot_date, try_cast(Annual_Income AS DOUBLE) AS Annual_Income,
+        try_cast(Changed_Credit_Limit AS DOUBLE) AS Changed_Credit_Limit, try_cast(Monthly_Balance AS DOUBLE) AS Monthly_Balance
+        FROM raw_financials""",
+    "approx_quantiles": """SELECT c AS column_name, CAST(p AS DOUBLE) AS share, true AS is_near
+        FROM (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount')) a(c),
+          (VALUES (0.05), (0.25), (0.5), (0.75), (0.95)) b(p) WHERE EXISTS (SELECT 1 FROM lineitem)""",
     "performance_history": f"SELECT * REPLACE ({_round('auc', 'logloss', 'accuracy', 'gini')}) FROM performance",
     "metrics_unpivot": " UNION ALL ".join(
         f"""SELECT model_name, period_month, period_tag, '{m}' AS metric, round(CAST({m} AS DOUBLE), 6) AS value
@@ -739,8 +781,8 @@ _BODIES: dict[str, str] = {
         CASE WHEN psi >= 0.25 THEN 'ALERT' WHEN psi >= 0.1 THEN 'WARN' ELSE 'OK' END AS severity FROM stability""",
     "drift_timeline": f"""SELECT * REPLACE ({_round('psi')}), CAST(period_month || '-01' AS DATE) AS month
         FROM stability WHERE model_name = 'prod_model'""",
-    "stability_summary": """SELECT type, feature, round(max(psi), 6) AS max_psi, round(avg(psi), 6) AS mean_psi,
-        count(DISTINCT period_month) AS n_months FROM stability GROUP BY 1, 2""",
+    "stability_summary": """SELECT model_name, type, feature, round(max(psi), 6) AS max_psi, round(avg(psi), 6) AS mean_psi,
+        count(DISTINCT period_month) AS n_months FROM stability GROUP BY 1, 2, 3""",
     "csi_topk_features": f"""SELECT * REPLACE ({_round('psi')}) FROM line_drift WHERE feature IN (
         SELECT feature FROM line_drift GROUP BY 1 ORDER BY max(psi) DESC, feature LIMIT 2)""",
     "retrain_decision": f"""
@@ -749,7 +791,7 @@ _BODIES: dict[str, str] = {
             THEN 'Retraining not allowed. Either logical date < 2023-06-01 or dataset not found.'
             WHEN len(reasons) = 0 THEN {_CLOSED} ELSE array_to_string(reasons, '; ') END AS reason
         FROM (SELECT r.model_name, r.snapshot_date, {_REASONS} AS reasons
-          FROM (SELECT DISTINCT model_name, snapshot_date FROM scores) r
+          FROM (SELECT DISTINCT model_name, snapshot_date FROM monthly_scores) r
           LEFT JOIN performance p ON p.model_name = r.model_name AND p.snapshot_date = r.snapshot_date
           LEFT JOIN (SELECT period_month, max(psi) FILTER (type = 'PSI') AS psi, max(psi) FILTER (type = 'CSI') AS csi
             FROM stability GROUP BY 1) d ON d.period_month = strftime(r.snapshot_date - to_months(1), '%Y-%m'))""",
@@ -789,5 +831,5 @@ _CTES["tall"] = " UNION ALL ".join(
 
 
 def oracle_sql() -> dict[str, str]:
-    """Query name to SQL. Model training has no SQL form and is left out."""
+    """Query name to SQL."""
     return {name: _sql(body) for name, body in _BODIES.items()}

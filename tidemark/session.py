@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning does the skew splitting and the size-checked broadcast conversion that
@@ -13,7 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Generated methods beyond this many bytes are never JIT-compiled; split them instead.
+    # The JVM never compiles methods beyond this many bytes; a subtree whose generated code would
+    # hold one runs without whole-stage code generation instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
@@ -25,7 +24,8 @@ def session_builder(app_name: str = "tidemark") -> SparkSession.Builder:
     builder = SparkSession.builder.appName(app_name)
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
-    return builder
+    # Checkpoint files go when the frame they belong to is collected as garbage.
+    return builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
 
 
 def tune(spark: SparkSession) -> None:
@@ -36,7 +36,7 @@ def tune(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by the cluster; a scratch folder only on a local master."""
+    """Use the shared folder named by the cluster; on a local master the warehouse serves as well."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
@@ -44,7 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
     context.setCheckpointDir(shared)
 
 

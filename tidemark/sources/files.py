@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +34,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     if file_format(path) == "parquet":
         reader = spark.read if schema is None else spark.read.schema(schema)
         return reader.parquet(path)
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    # Files are matched by header name, so column order may differ between deliveries.
-    return (reader if schema is None else reader.schema(raw_schema(schema))).option(
-        "enforceSchema", schema is None
-    ).csv(path)
+    text = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False).csv(path)
+    if schema is None:
+        return text
+    # Columns are found by header name, so their order may differ between deliveries. Files of one
+    # folder share one order; a file with another one fails instead of being read wrongly.
+    wanted = raw_schema(schema).fieldNames()
+    if missing := [c for c in wanted if c not in text.columns]:
+        raise ValueError(f"{path} has no columns {missing}")
+    return text.select(*wanted)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -85,10 +89,11 @@ def read_last_months(
     return rows.where(present == n_months)
 
 
-def write_snapshots(df: DataFrame, folder: str) -> None:
+def write_snapshots(df: DataFrame, folder: str, months: Iterable[dt.date] | None = None) -> None:
     """Replace the partitions that `df` has rows for, leave the others alone.
 
-    The rebalance hint lets adaptive execution gather small months into few files and split
+    `months` are all months of the run: those that came out empty lose their old rows. They are
+    removed after the write, so a failed write leaves the table as it was. The rebalance hint lets adaptive execution gather small months into few files and split
     a month that is too large for one task.
     """
     (
@@ -98,6 +103,16 @@ def write_snapshots(df: DataFrame, folder: str) -> None:
         .partitionBy(SNAPSHOT)
         .parquet(folder)
     )
+    if months is not None:
+        filled = {r[0] for r in df.select(SNAPSHOT).distinct().collect()}  # one row per month
+        for month in sorted(set(months) - filled):
+            _remove(df.sparkSession, f"{folder}/{SNAPSHOT}={month}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark can write to, if it exists."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def write_csv(df: DataFrame, folder: str) -> None:
@@ -110,22 +125,21 @@ def upsert_history(
 ) -> DataFrame:
     """Add rows to a history table, last write per key wins; only touched periods are rewritten.
 
-    The merge is checkpointed before the write, because it reads the files it replaces.
+    Of several new rows with one key the last in the frame's order stays, also on the first write. The merge is checkpointed before the write, because it reads the files it replaces.
     """
     spark = new.sparkSession
-    incoming = new.withColumn("ingest_seq", F.lit(1))
+    incoming = new.withColumn("ingest_seq", F.monotonically_increasing_id())
     try:
         stored = spark.read.schema(new.schema).parquet(folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        stored = None
-    if stored is not None:
-        # One row per touched period.
-        touched = new.select(partition).distinct()
-        earlier = stored.join(F.broadcast(touched), partition, "left_semi")
-        incoming = upsert_keep_last(earlier.withColumn("ingest_seq", F.lit(0)), incoming, keys)
-    merged = checkpointed(incoming.drop("ingest_seq"))
+        stored = spark.createDataFrame([], new.schema)
+    # One row per touched period.
+    touched = new.select(partition).distinct()
+    earlier = stored.join(F.broadcast(touched), partition, "left_semi")
+    earlier = earlier.withColumn("ingest_seq", F.lit(-1).cast("bigint"))
+    merged = checkpointed(upsert_keep_last(earlier, incoming, keys).drop("ingest_seq"))
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
