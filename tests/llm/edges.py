@@ -3,7 +3,7 @@ columns with names that operators use themselves."""
 
 from __future__ import annotations
 
-LONG = " ".join(f"word{i % 977}x{i % 31}" for i in range(60_000))
+LONG = " ".join(f"word{i * 7919 % 60013}x{i % 31}" for i in range(60_000))
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, row bigint, n_words bigint, "
     "tokens string, score string, part int, `group` int, length int, component string, id string, host_key string"
