@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning, dates
-from tidemark.operators.quality import repeated_keys
 from tidemark.operators.snapshots import complete_months
 
 
@@ -89,6 +88,13 @@ def rolling_average(
     )
 
 
+def _joined(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    merged = frames[0]
+    for frame in frames[1:]:
+        merged = merged.join(frame, list(keys), "full")
+    return merged
+
+
 def merge_sources(
     sources: Mapping[str, DataFrame],
     keys: Sequence[str] = ("Customer_ID", "snapshot_date"),
@@ -99,19 +105,12 @@ def merge_sources(
     `unique=True` is for sources with at most one row per key (quarantined layers): the sources
     are stacked and grouped, one shuffle in total. A source that breaks this promise fails the
     query instead of losing rows. `unique=False` chains full outer joins, which also keeps the
-    fan-out of repeated keys, such as several loans of a customer. By default the key columns
-    are checked first. Keys with a NULL part match nothing in either form.
+    fan-out of repeated keys, such as several loans of a customer. By default the grouped form
+    counts the rows per key and only repeated keys go through the joins, all in one plan. Keys with
+    a NULL part match nothing in any form.
     """
-    if unique is None:
-        unique = all(
-            repeated_keys(frame.select(*keys).na.drop(), keys).isEmpty() for frame in sources.values()
-        )
-    if not unique:
-        frames = iter(sources.values())
-        merged = next(frames)
-        for frame in frames:
-            merged = merged.join(frame, list(keys), "full")
-        return merged
+    if unique is False:
+        return _joined(list(sources.values()), keys)
 
     features = {
         name: [c for c in frame.columns if c not in keys] for name, frame in sources.items()
@@ -137,6 +136,13 @@ def merge_sources(
             F.greatest(*[F.sum(f"_n_{s}") for s in sources]).alias("_most"),
         )
     )
+    if unique is None:
+        repeated = grouped.where(F.col("_most") > 1).select(*keys)
+        fanned = _joined([f.join(repeated, list(keys), "left_semi") for f in sources.values()], keys)
+        single = grouped.where(F.col("_most") <= 1).select(*keys, *every)
+        return single.unionByName(fanned.select(*keys, *every)).unionByName(
+            stacked.where(no_key).select(*keys, *every)
+        )
     message = F.lit("merge_sources: a source has several rows for one key; use unique=False")
     checked = grouped.where(
         F.when(F.col("_most") <= 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))

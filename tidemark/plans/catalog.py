@@ -546,6 +546,17 @@ def label_surrogate_dsl(spark, d):
     return _surrogate(spark, d)
 
 
+@query
+def feature_merge_fanout(spark, d):
+    """Several loans of a customer in a month keep a row each."""
+    return features.merge_sources(
+        {
+            "scores": fx.monthly_scores(spark, d).drop("model_name"),
+            "loans": fx.outcomes(spark, d),
+        }
+    )
+
+
 @query
 def feature_merge_outer(spark, d):
     return rounded(_store(spark, d), "delinquency_score_log", "dti", "savings_rate_avg_3m")

@@ -757,6 +757,9 @@ _BODIES: dict[str, str] = {
           CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 3 = 0 THEN 'model_lr'
             WHEN o_orderkey % 3 = 1 THEN 'prod_predictions' ELSE 'odd name' END AS family
         FROM orders""",
+    "feature_merge_fanout": """SELECT Customer_ID, snapshot_date, model_predictions, loan_id, label
+        FROM (SELECT Customer_ID, snapshot_date, model_predictions FROM monthly_scores)
+        FULL JOIN outcomes USING (Customer_ID, snapshot_date)""",
     "any_null_rows": """SELECT Customer_ID, snapshot_date FROM raw_financials
         WHERE Type_of_Loan IS NULL OR Annual_Income IS NULL""",
     "numeric_coercion": """SELECT Customer_ID, snapshot_date, try_cast(Annual_Income AS DOUBLE) AS Annual_Income,
