@@ -22,8 +22,8 @@ CHUNK, OVERLAP = 1024, 64
 EMBED, STRIDE, FILTERS, HIDDEN = 8, 4, 64, 16
 THRESHOLD = 0.7
 # Training sample: labelled documents of each class, and chunks of each, evenly spread over it.
-TRAIN_ROWS, TRAIN_CHUNKS = 1536, 12
-EPOCHS, BATCH, RATE, DECAY = 16, 64, 0.015, 1e-4
+TRAIN_ROWS, TRAIN_CHUNKS = 1024, 12
+EPOCHS, BATCH, RATE, DECAY = 14, 64, 0.02, 1e-4
 # Rows of a matrix product at a time.
 BLOCK_CHUNKS = 256
 
