@@ -7,8 +7,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import codes, schemas
-from tidemark.operators import dataset, labels, models
+from tidemark import schemas
+from tidemark.operators import dataset, models
 from tidemark.plans import fixtures, medallion, monitoring
 from tidemark.session import checkpointed
 from tidemark.sources import files
