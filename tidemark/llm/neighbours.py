@@ -30,7 +30,7 @@ SAMPLE, PROBES, TARGET = 16_384, 200, 0.97
 # Least rows of the sample in a leaf.
 LEAF_SAMPLE = 8
 # Leaves that are scored together, and the most bytes of rows, and of queries, in a block.
-JOINED_LEAVES, BLOCK_BYTES = 32, 16 << 20
+JOINED_LEAVES, BLOCK_BYTES = 128, 16 << 20
 EVERY = 20
 # Candidates kept beyond those asked for while block scores differ in the last bits.
 SPARE = 12
