@@ -101,3 +101,14 @@ def test_line_dedup_equals_sql(spark, data):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
     assert differences(line_dedup.report(spark.read.parquet(f"{data}/documents.parquet")), con, line_dedup.SQL) == []
+
+
+def test_short_texts_form_one_window(spark):
+    """Texts of one and two lines: later equal ones go, other line counts and blank ones do not."""
+    rows = [(1, "one line"), (2, "one line"), (3, "one line\n"), (4, "one line\n"), (5, "a\nb"), (6, "a\nb"), (7, "b\na"),
+            (8, ""), (9, ""), (10, " \n\t"), (11, " \n\t"), (12, None), (13, "a\nb\nx"), (14, "p\nq\nr"), (15, "p\nq\nr"), (None, "one line")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    done = line_dedup.dedup_lines(docs, removed="gone", short=True).collect()
+    gone = {r["doc_id"]: r["gone"] for r in done if r["gone"]}
+    assert gone == {1: [0], 2: [0], 4: [0, 1], 6: [0, 1], 15: [0, 1, 2]}
+    assert {r["doc_id"]: r["text"] for r in done} == dict(rows) | dict.fromkeys(gone, "")

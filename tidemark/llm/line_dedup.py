@@ -10,17 +10,25 @@ from tidemark.llm.common import SOLID, fresh, require
 WINDOW = 3
 
 
-def windows(docs: DataFrame, row: str, id: str, lines: str, width: int) -> DataFrame:
-    """(row, id, pos, h1, h2) of every window of `width` lines that holds a solid character."""
+def windows(docs: DataFrame, row: str, id: str, lines: str, width: int, short: bool = False) -> DataFrame:
+    """(row, id, pos, h1, h2) of every window of `width` lines that holds a solid character; with
+    `short`, also of the one window of all lines, hashed with their number, of a text of fewer."""
     parts = ", ".join(f"`{lines}`[i + {k}]" for k in range(width))
     solid = " or ".join(f"`{lines}`[i + {k}] rlike '{SOLID}'" for k in range(width)).replace("\\", "\\\\")
-    hashed = F.expr(
+    hashed = (
         f"transform(sequence(0, size(`{lines}`) - {width}), i -> struct(i as pos, "
         f"if({solid}, xxhash64({parts}), null) as h1, xxhash64('second', {parts}) as h2))"
     )
+    if short:
+        some = f"exists(`{lines}`, x -> x rlike '{SOLID}')".replace("\\", "\\\\")
+        whole = f"size(`{lines}`), `{lines}`"
+        hashed = (
+            f"if(size(`{lines}`) >= {width}, {hashed}, array(struct(0 as pos, "
+            f"if({some}, xxhash64('short', {whole}), null) as h1, xxhash64('second short', {whole}) as h2)))"
+        )
     return (
-        docs.where(F.size(lines) >= width)
-        .select(F.col(row).alias("row"), F.col(id).alias("id"), F.explode(hashed).alias("w"))
+        docs.where(F.size(lines) >= (1 if short else width))
+        .select(F.col(row).alias("row"), F.col(id).alias("id"), F.explode(F.expr(hashed)).alias("w"))
         .select("row", "id", "w.pos", "w.h1", "w.h2")
         .where("h1 is not null")
     )
@@ -47,15 +55,16 @@ def later_windows(found: DataFrame) -> DataFrame:
 
 def dedup_lines(
     docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WINDOW,
-    removed: str | None = None, total: str | None = None,
+    removed: str | None = None, total: str | None = None, short: bool = False,
 ) -> DataFrame:
     """The documents, without lines that lie in a window seen before.
 
     Lines are the parts between line feeds. A window is `width` consecutive lines of one document,
     blank ones included, at least one of them not blank; windows are equal when two 64-bit hashes
     of their lines are. The first occurrence, by (id, row, position), stays; all lines covered by any
-    later window go, overlaps merging. Texts of fewer lines and null texts stay as they are; a
-    document may become empty. Equal rows count as documents of their own, in the order of the
+    later window go, overlaps merging. Null texts stay as they are, and so do texts of fewer lines
+    unless `short`: then all lines of one are its window, and later texts of the same lines become
+    empty. A document may become empty. Equal rows count as documents of their own, in the order of the
     table; a null id comes first. All columns are kept; `removed` names a column for the sorted
     positions that went, `total` one for the number of lines.
 
@@ -65,13 +74,16 @@ def dedup_lines(
     row, lines, gone, keep = (fresh(docs, f"_{x}") for x in ("row", "lines", "gone", "keep"))
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     split = numbered.select(row, id, F.split(text, "\n").alias(lines))
-    later = later_windows(windows(split, row, id, lines, width))
+    later = later_windows(windows(split, row, id, lines, width, short))
     # at most one entry per line of the document
     positions = later.groupBy(F.col("row").alias(row)).agg(F.collect_set("pos").alias(gone))
     joined = numbered.join(positions, row, "left").withColumn(lines, F.split(text, "\n"))
-    covered = F.array_distinct(F.flatten(F.transform(gone, lambda p: F.sequence(p, p + width - 1))))
+    last = F.size(lines) - 1
+    covered = F.array_distinct(
+        F.flatten(F.transform(gone, lambda p: F.sequence(p, F.least(p + width - 1, last))))
+    )
     joined = joined.withColumn(gone, covered).withColumn(
-        keep, F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+        keep, F.array_except(F.sequence(F.lit(0), last), F.col(gone))
     )
     cleaned = F.when(F.col(gone).isNull(), F.col(text)).otherwise(
         F.array_join(F.transform(keep, lambda i: F.get(F.col(lines), i)), "\n")
