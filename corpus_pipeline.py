@@ -28,7 +28,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are not depleted, without their hosts' boilerplate lines."""
-    return _counted(quality_rules.apply_rules(docs))
+    return _counted(quality_rules.apply_rules(docs, many_docs=quality_rules.MANY_DOCS))
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

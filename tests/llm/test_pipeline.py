@@ -38,6 +38,28 @@ def test_rules_stage(stages):
     assert {r[0] for r in after.select("doc_id").collect()} == {r[0] for r in kept.collect()}
 
 
+def test_a_large_host_does_not_raise_the_line_limit(spark, data):
+    """One host with a third of all rows: a line in 250 of its 6,000 texts (4 %) goes, one in 150 stays."""
+    often, seldom = "a line that many texts of the host hold", "a line that fewer texts hold"
+    rows = []
+    for i in range(18_000):
+        lines = [" ".join(f"w{(i * k + k) % 20011}" for k in range(7, 67)), f"only {i}"]
+        if i % 3 == 0 and i < 720:
+            lines.append(often)
+        if 720 <= i < 750:
+            lines += [often] * 8 if i % 3 == 0 else []
+        if i % 3 == 0 and 3000 <= i < 3450:
+            lines.append(seldom)
+        rows.append((i, "\n".join(lines), "large" if i % 3 == 0 else f"small{i % 40}"))
+    before = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    after = {r["doc_id"]: r["text"] for r in corpus_pipeline.quality_rules_stage(spark, before, data).collect()}
+    depleted = set(range(720, 750, 3))
+    assert set(after) == set(range(18_000)) - depleted
+    for i, text, _ in rows:
+        if i not in depleted:
+            assert after[i] == text.replace(f"\n{often}", "")
+
+
 def test_classifier_stage(spark, stages, data):
     before, after = stages[1]
     scored = quality_cnn.report(before, spark.read.parquet(f"{data}/labels.parquet"))

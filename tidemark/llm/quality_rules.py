@@ -17,6 +17,9 @@ from tidemark.llm.common import (
 # percent of the host's different texts hold it.
 MIN_DOCS = 20
 SHARE = 5
+# Where the caller asks for it, more than MANY_DOCS different texts are enough whatever their share,
+# so from 4,000 texts on the limit no longer grows with the host.
+MANY_DOCS = 200
 # A document of which more than this percent of the words lie in boilerplate lines is depleted.
 DEPLETED = 50
 MIN_WORDS = 50
@@ -130,8 +133,11 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(*rest.columns, F.col(f"`{text}`").cast("string")).mapInArrow(run, schema)
 
 
-def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, share: int = SHARE) -> DataFrame:
-    """(host_key, line_key) of lines above the limits, from rows with host_key and LINES.
+def boilerplate(
+    measured: DataFrame, min_docs: int = MIN_DOCS, share: int = SHARE, many_docs: int | None = None,
+) -> DataFrame:
+    """(host_key, line_key) of lines above both limits, or above `many_docs` where that is given,
+    from rows with host_key and LINES.
 
     Equal texts of a host count once, so exact copies do not make their lines boilerplate.
     Distinct texts are counted with a partial step on (line, text), so a line that a third of the
@@ -140,9 +146,12 @@ def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, share: int = SHAR
     lines = measured.select("host_key", "text_key", F.explode("line_keys").alias("line_key"))
     counts = lines.groupBy("host_key", "line_key").agg(F.count_distinct("text_key").alias("docs"))
     hosts = measured.groupBy("host_key").agg(F.count_distinct("text_key").alias("host_docs"))
+    above = F.col("docs") * 100 > F.col("host_docs") * share
+    if many_docs is not None:
+        above = above | (F.col("docs") > many_docs)
     return (
         counts.where(F.col("docs") > min_docs).join(hosts, "host_key")
-        .where(F.col("docs") * 100 > F.col("host_docs") * share)
+        .where(above)
         .select("host_key", "line_key")
     )
 
@@ -155,12 +164,12 @@ def _slim(docs: DataFrame, host: str, text: str, *more) -> DataFrame:
     )
 
 
-def _hits(measured: DataFrame) -> DataFrame:
+def _hits(measured: DataFrame, many_docs: int | None = None) -> DataFrame:
     """(row, line_key, words) of every boilerplate line of every document."""
     lines = measured.select(
         "row", "host_key", F.explode(F.arrays_zip("line_keys", "line_words")).alias("line")
     ).select("row", "host_key", F.col("line.line_keys").alias("line_key"), F.col("line.line_words").alias("words"))
-    return lines.join(boilerplate(measured), ["host_key", "line_key"]).drop("host_key")
+    return lines.join(boilerplate(measured, many_docs=many_docs), ["host_key", "line_key"]).drop("host_key")
 
 
 def judge(docs: DataFrame, id: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
@@ -215,14 +224,18 @@ def measure_lines(lines: pa.Array) -> list[int | None]:
     return [k[0] if k else None for k in keys]
 
 
-def apply_rules(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+def apply_rules(
+    docs: DataFrame, host: str = "source", text: str = "text", many_docs: int | None = None,
+) -> DataFrame:
     """The kept documents with their boilerplate lines removed and all columns as they were.
 
+    Without `many_docs` the verdicts are those of `judge`; with it, lines in more than that many
+    different texts of a host are boilerplate too.
     Give a table scan or staged rows: the row numbers of two passes must agree.
     """
     row, gone = (fresh(docs, f"_{x}") for x in ("row", "gone"))
     measured = staged(measure(_slim(docs, host, text)))
-    found = _hits(measured).groupBy("row").agg(F.sum("words").alias("words"), F.collect_set("line_key").alias(gone))
+    found = _hits(measured, many_docs).groupBy("row").agg(F.sum("words").alias("words"), F.collect_set("line_key").alias(gone))
     verdict = (
         measured.select("row", "n_words", _failed().alias("failed")).join(found, "row", "left")
         .where(~F.col("failed") & _enough(F.coalesce("words", F.lit(0))))
