@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import edges
 from tests.parity import differences
@@ -147,6 +148,16 @@ def test_held_out_rows_are_never_learnt(spark):
     assert len(quality_cnn.training_rows(docs, labels, "doc_id", "text", "quality", 10).collect()) == 20
 
 
+def test_a_repeated_id_is_one_sample(spark):
+    docs = spark.range(3000).selectExpr("if(id < 2900, 1, id) as doc_id", "concat('text ', id) as text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality").distinct()
+    used = quality_cnn.training_rows(docs, labels, "doc_id", "text", "quality", 1000).collect()
+    assert 1 in {r["id"] for r in used} and len(used) == len({r["id"] for r in used})
+    again = quality_cnn.training_rows(docs.orderBy(F.desc("text")), labels, "doc_id", "text", "quality", 1000).collect()
+    assert {r["id"]: bytes(r["chunks"]) for r in used} == {r["id"]: bytes(r["chunks"]) for r in again}
+    assert len(licences.sample_paragraphs(docs, "doc_id", "text")) == 101
+
+
 @pytest.fixture(scope="module")
 def model():
     rng = np.random.default_rng(8)

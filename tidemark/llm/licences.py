@@ -322,10 +322,12 @@ def train(unknown: list[str], seed: int = 5) -> Model:
 
 def sample_paragraphs(docs: DataFrame, id: str, text: str) -> list[str]:
     """At most SAMPLE_DOCS x SAMPLE_PARAGRAPHS paragraphs, of the documents least by a hash of the id,
-    evenly spread over each text, and at most WINDOW words of each."""
+    evenly spread over each text, and at most WINDOW words of each; of the texts of a repeated id
+    the one of least hash is taken."""
     ids = docs.where(F.col(id).isNotNull()).select(F.col(id).alias("id")).distinct()
     ids = ids.orderBy(F.xxhash64(F.lit("licence"), F.col("id")), "id").limit(SAMPLE_DOCS)
     found = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(ids), "id", "left_semi")
+    found = found.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

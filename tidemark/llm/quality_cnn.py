@@ -182,7 +182,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, id: str, text: str, label:
     sizes = picked.groupBy("label").agg(F.count("*").alias("picked"))
     weights = shares.join(sizes, "label").select("label", (F.col("all") / F.col("picked")).alias("weight"))
     chosen = F.broadcast(picked.join(F.broadcast(weights), "label"))  # at most 2 x rows ids
-    found = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")).join(chosen, "id")
+    texts = (
+        docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
+        .join(F.broadcast(picked.select("id").distinct()), "id", "left_semi")
+        .groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    )
+    found = texts.join(chosen, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,8 +214,8 @@ def fit(
     rows: int = TRAIN_ROWS,
 ) -> Network:
     """Train on a bounded sample; what reaches the driver is at most 2 x rows x TRAIN_CHUNKS x CHUNK
-    bytes. Without labelled rows the network stays as it starts. Rows whose id repeats are samples
-    each; null texts count as empty."""
+    bytes. Without labelled rows the network stays as it starts. A repeated id gives one text;
+    null texts count as empty."""
     require(docs, id, text)
     require(labels, id, label)
     sample = training_rows(docs, labels, id, text, label, rows).collect()
