@@ -52,6 +52,24 @@ def test_lengths_differ(spark):
     assert hits / (75 * 20) >= 0.9
 
 
+def test_recall_in_deep_trees_with_a_large_cluster(spark):
+    """20,000 vectors, a third of them nearly equal: trees of depth 7, queries in and out of the cluster."""
+    rng = np.random.default_rng(4)
+    n, dims = 20_000, 24
+    x = rng.standard_normal((60, dims))[rng.integers(0, 60, n)] + 0.5 * rng.standard_normal((n, dims))
+    crowd = np.arange(n) % 3 == 1
+    x[crowd] = x[1] + 0.01 * rng.standard_normal((crowd.sum(), dims))
+    x = x.astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+    found = _answers(neighbours.search(table, every=100))
+    ids, x = np.arange(n), x.astype(np.float64)
+    recall = {True: [], False: []}
+    for q in range(0, n, 100):
+        recall[bool(crowd[q])].append(len({g[1] for g in found[q]} & {w[0] for w in _brute(ids, x, q)}) / 20)
+    assert min(len(v) for v in recall.values()) >= 60
+    assert np.mean(recall[True]) >= 0.9 and np.mean(recall[False]) >= 0.9
+
+
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
