@@ -179,6 +179,17 @@ def test_licences(model):
     assert found[1].to_pylist() == [*cases.values(), ""]
 
 
+def test_dual_notices(model):
+    """Two licences in one paragraph are both reported; one licence stays one."""
+    cases = {
+        "Released under the MIT License and licensed under the Apache License, Version 2.0": "Apache-2.0,MIT",
+        "Licensed under the Apache License, Version 2.0 or, word4 word9, released under the MIT license": "Apache-2.0,MIT",
+        **{t: family for family, ts in licences.TEMPLATES.items() for t in ts[:1]},
+    }
+    found = licences.scan_texts(model, pa.array(list(cases), pa.large_string()))
+    assert found[1].to_pylist() == list(cases.values())
+
+
 def test_licence_in_a_long_paragraph(model):
     text = " ".join(f"word{i % 290}" for i in range(5000))
     notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"

@@ -187,6 +187,7 @@ class Model:
     scale: float
     limit: float
     templates: list[tuple[int, np.ndarray]]  # family and its word pairs' places in the vocabulary
+    owned: list[np.ndarray]  # of each family, the places of all n-grams of its templates
 
     def hits(self, p: Paragraphs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Different (window, n-gram) pairs, and the text of every window."""
@@ -219,6 +220,21 @@ class Model:
         """Largest share of a template's word pairs among the features."""
         return max((np.isin(t, features).mean() for k, t in self.templates if k == family and len(t)), default=0.0)
 
+    def further(self, features: np.ndarray, family: int) -> Iterator[tuple[int, float]]:
+        """More families of a window where `family` is confirmed, and their similarities: the window is
+        classified again without the n-grams of the families found so far."""
+        left = features
+        for _ in range(UNKNOWN):
+            left = left[~np.isin(left, self.owned[family])]
+            if not len(left):
+                return
+            p = self.probabilities(np.zeros(len(left), int), left, 1)[0]
+            family = int(p.argmax())
+            share = self.similarity(features, family) if family != UNKNOWN and p[family] >= self.limit else 0.0
+            if share < CONFIRMED:
+                return
+            yield family, share
+
 
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=1, keepdims=True))
@@ -277,8 +293,13 @@ def train(unknown: list[str], seed: int = 5) -> Model:
     for i, (k, _) in enumerate(flat):
         mine = np.unique(pairs[p.paragraph[pairs_at] == i])
         templates.append((k, np.searchsorted(vocabulary, mine)))
+    family_of = np.array([k for k, _ in flat])
+    owned = []
+    for k in range(len(FAMILIES)):
+        mine = np.unique(np.concatenate([v[family_of[p.paragraph[at]] == k] for at, v in by_n]))
+        owned.append(np.flatnonzero(np.isin(vocabulary, mine)))
     classes = len(FAMILIES) + 1
-    model = Model(vocabulary, np.zeros((len(vocabulary), classes)), np.zeros(classes), 1.0, LEAST, templates)
+    model = Model(vocabulary, np.zeros((len(vocabulary), classes)), np.zeros(classes), 1.0, LEAST, templates, owned)
 
     clean = []
     if unknown:
@@ -391,6 +412,10 @@ def scan_texts(m: Model, texts: pa.Array) -> list[pa.Array]:
         share = m.similarity(f[edges[i] : edges[i + 1]], family)
         alike[d] = max(alike[d], share)
         (confirmed if share >= CONFIRMED else predicted)[d].add(FAMILIES[family])
+        if share >= CONFIRMED:
+            for other, share in m.further(f[edges[i] : edges[i + 1]], family):
+                alike[d] = max(alike[d], share)
+                confirmed[d].add(FAMILIES[other])
     return [
         pa.array(np.bincount(p.doc, minlength=n), pa.int64()),
         pa.array([",".join(sorted(x)) for x in confirmed], pa.string()),
