@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, jaccard, licences, line_dedup, neighbours, packing, quality_cnn, quality_rules, sharding, token_counts
+from tidemark.llm import (
+    bpe,
+    jaccard,
+    licences,
+    line_dedup,
+    mixing,
+    neighbours,
+    packing,
+    quality_cnn,
+    quality_rules,
+    sharding,
+    token_counts,
+)
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,4 +98,9 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.suffix_sums(counts)
 
 
-SQL |= {"op5_line_dedup": line_dedup.SQL, "op6_quality_rules": quality_rules.SQL}
+@query
+def op12_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_documents(documents(spark, folder))
+
+
+SQL |= {"op5_line_dedup": line_dedup.SQL, "op6_quality_rules": quality_rules.SQL, "op12_mix_sources": mixing.SQL}
