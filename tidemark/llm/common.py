@@ -79,19 +79,9 @@ _RNG = np.random.default_rng(20240501)
 BYTES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
 FOLDED = BYTES.copy()
 FOLDED[ord("A") : ord("Z") + 1] = FOLDED[ord("a") : ord("z") + 1]
-BASE = 0x9E3779B97F4A7C15 | 1
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
 STEP = [np.uint64(x | 1) for x in _RNG.integers(1, 1 << 63, 8, dtype=np.uint64)]
-POWERS: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    if base not in POWERS or len(POWERS[base]) < n:
-        size = 1 << max(16, int(n).bit_length())
-        table = np.full(size, np.uint64(base))
-        table[0] = 1
-        POWERS[base] = np.cumprod(table)
-    return POWERS[base][:n]
+# Keys of the places in a stretch that are kept; those of longer stretches are computed again.
+KEPT_PLACES = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -101,6 +91,42 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _place_keys(n: int) -> np.ndarray:
+    return mix((np.arange(n, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+
+
+_PLACES = _place_keys(KEPT_PLACES)
+
+
+def stretch_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of units, each unit given by a random 64-bit value.
+
+    A unit is multiplied by a random number of its place and the products are added, so two different
+    stretches agree with a probability near 2^-60, however alike or regular they are. (Powers of
+    one base in place of the numbers would not do: modulo 2^64 regular words of two units collide for
+    every base.)
+    """
+    length = ends - starts
+    after = np.cumsum(length)
+    n = int(after[-1]) if len(after) else 0
+    place = np.arange(n) - np.repeat(after - length, length)
+    most = int(length.max()) if len(length) else 0
+    keys = _PLACES if most <= KEPT_PLACES else _place_keys(most)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(values[np.repeat(starts, length) + place] * keys[place], out=sums[1:])
+    return mix(sums[after] - sums[after - length] + length.astype(np.uint64))
+
+
+def alike(units: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> bool:
+    """Whether every stretch equals, unit by unit, the one whose number `first` gives."""
+    length = ends - starts
+    if not np.array_equal(length, length[first]):
+        return False
+    after = np.cumsum(length)
+    place = np.arange(int(after[-1]) if len(after) else 0) - np.repeat(after - length, length)
+    return np.array_equal(units[np.repeat(starts, length) + place], units[np.repeat(starts[first], length) + place])
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts and the offset of each, a null being empty."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
@@ -137,10 +163,7 @@ def spans(data: np.ndarray, offsets: np.ndarray, word: np.ndarray | None = None)
 
 def text_hashes(data: np.ndarray, s: Spans, fold: bool) -> np.ndarray:
     """64-bit hashes of stretches; with `fold`, A-Z count as a-z."""
-    values = (FOLDED if fold else BYTES)[data] * powers(BASE, len(data))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values)))
-    hashes = (sums[s.ends] - sums[s.starts]) * powers(BASE_INVERSE, len(data) + 1)[s.starts]
-    return mix(hashes + (s.ends - s.starts).astype(np.uint64))
+    return stretch_hashes((FOLDED if fold else BYTES)[data], s.starts, s.ends)
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

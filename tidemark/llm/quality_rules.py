@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    STEP, Spans, chunks, column, fresh, mix, powers, require, spans, staged, text_bytes, text_hashes, widened,
+    STEP, Spans, chunks, column, fresh, mix, require, spans, staged, stretch_hashes, text_bytes,
+    text_hashes, widened,
 )
 
 # A line is boilerplate of its host when more than MIN_DOCS different texts and more than SHARE
@@ -90,9 +91,7 @@ def measure_texts(texts: pa.Array) -> dict[str, pa.Array]:
     h, d = key[order], line_doc[solid][order]
     distinct = np.bincount(d[np.concatenate((np.ones(min(1, len(h)), bool), (h[1:] != h[:-1]) | (d[1:] != d[:-1])))], minlength=n_docs) if len(h) else n_lines
 
-    place = np.arange(len(doc)) - np.repeat(first_word, line_words)
-    terms = np.concatenate((np.zeros(1, np.uint64), np.cumsum(folded * powers(int(STEP[3]), int(place.max()) + 1 if len(place) else 1)[place])))
-    line_hash = mix((terms[first_word + line_words] - terms[first_word]) ^ line_words.astype(np.uint64))[solid]
+    line_hash = stretch_hashes(folded, first_word[solid], (first_word + line_words)[solid])
     order = np.lexsort((line_hash, line_doc[solid]))
     h, d, w = line_hash[order], line_doc[solid][order], line_words[solid][order]
     new = np.ones(len(h), bool)

@@ -10,6 +10,7 @@ apostrophe); all other texts take the library's plain pattern.
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 import unicodedata
@@ -18,7 +19,7 @@ from functools import cache
 
 import numpy as np
 
-from tidemark.llm.common import BASE, BASE_INVERSE, powers, mix
+from tidemark.llm.common import alike, stretch_hashes
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -26,7 +27,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # Entries kept by a worker before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 
 def byte_to_char() -> list[str]:
@@ -82,31 +83,37 @@ CLASSES = np.array(
     np.uint8,
 )
 _RNG = np.random.default_rng(20240502)
-_VALUES = _RNG.integers(1, 1 << 63, PLAIN_BELOW, dtype=np.uint64)
-_LOWER = np.array([ord(chr(c).lower()) if len(chr(c).lower()) == 1 else c for c in range(PLAIN_BELOW)])
-_LOWER_VALUES = _VALUES[np.minimum(_LOWER, PLAIN_BELOW - 1)]
-# Lower-case forms outside the table still need a value of their own.
-_LOWER_VALUES[_LOWER >= PLAIN_BELOW] = _RNG.integers(1, 1 << 63, int((_LOWER >= PLAIN_BELOW).sum()), dtype=np.uint64)
+# One value more for lower-case forms outside the table; stretches of equal hashes are compared.
+_VALUES = _RNG.integers(1, 1 << 63, PLAIN_BELOW + 1, dtype=np.uint64)
 
 
 class Pool:
-    """Ids of remembered pre-tokens, found by 64-bit hash; starts anew when full."""
+    """Ids of remembered pre-tokens, found by their text; starts anew when full."""
 
     def __init__(self, limit: int = REMEMBERED):
         self.limit = limit
         self.clear()
 
     def clear(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.slots: dict[str, int] = {}
         self.ids = array("I")
         self.ends = array("q", [0])
 
-    def add(self, key: int, ids: list[int]) -> int:
+    def add(self, key: str, ids: list[int]) -> int:
         self.ids.extend(ids)
         self.ends.append(len(self.ids))
         slot = self.slots[key] = len(self.ends) - 2
         return slot
 
+    def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the slots one after the other, and the place after each, from 0."""
+        ids, bounds = np.array(self.ids, np.uint32), np.array(self.ends)
+        begin = bounds[slots]
+        length = bounds[slots + 1] - begin
+        after = np.cumsum(length)
+        gathered = ids[np.repeat(begin - (after - length), length) + np.arange(after[-1] if len(after) else 0)]
+        return gathered, np.concatenate(([0], after))
+
 
 class Vocabulary:
     """What the two kinds of tokenizers share: cut, look up, gather."""
@@ -148,30 +155,24 @@ class Vocabulary:
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
         starts, ends = self.cut(CLASSES[codes], codes, offsets)
-        values = (_LOWER_VALUES if self.lower else _VALUES)[codes] * powers(BASE, len(codes))
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values)))
-        hashes = (sums[ends] - sums[starts]) * powers(BASE_INVERSE, len(codes) + 1)[starts]
-        hashes = mix(hashes + (ends - starts).astype(np.uint64))
-        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if self.lower:
+            joined = joined.lower()
+            codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        hashes = stretch_hashes(_VALUES[np.minimum(codes, PLAIN_BELOW)], starts, ends)
+        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if not alike(codes, starts, ends, first[inverse]):
+            return [np.array(self.whole(t), np.uint32) for t in texts]
         pool = self.pool
         if len(pool.slots) >= pool.limit:
             pool.clear()
         known = pool.slots
-        slots = np.empty(len(distinct), np.int64)
-        for i, (key, a, b) in enumerate(
-            zip(distinct.tolist(), starts[first].tolist(), ends[first].tolist(), strict=True)
-        ):
-            slot = known.get(key)
-            if slot is None:
-                text = joined[a:b]
-                slot = pool.add(key, self.piece(text.lower() if self.lower else text))
-            slots[i] = slot
-        ids, bounds = np.array(pool.ids, np.uint32), np.array(pool.ends)
-        begin = bounds[slots][inverse]
-        length = bounds[slots + 1][inverse] - begin
-        after = np.cumsum(length)
-        gathered = ids[np.repeat(begin - (after - length), length) + np.arange(after[-1] if len(after) else 0)]
-        edge = np.concatenate(([0], after))[np.searchsorted(starts, offsets)]
+        slots = np.empty(len(first), np.int64)
+        for i, (a, b) in enumerate(zip(starts[first].tolist(), ends[first].tolist(), strict=True)):
+            piece = joined[a:b]
+            slot = known.get(piece)
+            slots[i] = pool.add(piece, self.piece(piece)) if slot is None else slot
+        gathered, after = pool.gather(slots[inverse])
+        edge = after[np.searchsorted(starts, offsets)]
         return [gathered[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
@@ -245,6 +246,92 @@ class ByteLevel(Vocabulary):
         return char_of_byte[starts], char_of_byte[ends - 1] + 1
 
 
+class ByteLevelFile(ByteLevel):
+    """Byte-level BPE of a tokenizer file without normalizer; strings of special tokens are plain text."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        Vocabulary.__init__(self, self.tokenizer.model)
+        kind = json.loads(self.tokenizer.to_str())
+        before = kind["pre_tokenizer"] or {}
+        self.known_pattern = (
+            kind["normalizer"] is None
+            and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        )
+        byte = {c: b for b, c in enumerate(byte_to_char())}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.token_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            shown = all(c in byte for c in token)
+            self.token_bytes[i] = bytes(byte[c] for c in token) if shown else token.encode()
+        self.token_sizes = np.array([len(t) for t in self.token_bytes], np.int64)
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.known_pattern:
+            return [np.array(self.whole(t), np.uint32) for t in texts]
+        return Vocabulary.encode_all(self, texts)
+
+
+class Pieces:
+    """A sentencepiece model; every unit of spaces and the characters after them once.
+
+    Merges never cross from another character to a space when no piece holds a space after one.
+    Such a model encodes the units of " " + text each for itself; other models, and texts of which a
+    unit does not keep its bytes, are encoded whole.
+    """
+
+    UNIT = re.compile(r" +[^ ]*")
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.token_bytes = [
+            bytes([int(p[1:-1], 16)]) if self.model.is_byte(i) else p.replace("\u2581", " ").encode()
+            for i, p in enumerate(pieces)
+        ]
+        self.token_sizes = np.array([len(t) for t in self.token_bytes], np.int64)
+        self.by_unit = not any("\u2581" in p.lstrip("\u2581") for p in pieces)
+        self.pool = Pool()
+        self.lossy: set[int] = set()
+
+    def decode(self, ids) -> bytes:
+        table = self.token_bytes
+        return b"".join([table[i] for i in ids])
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text, before which the model puts a space. Give a few megabytes at a time."""
+        if not self.by_unit:
+            return [np.array(ids, np.uint32) for ids in self.model.encode(texts, num_threads=1)]
+        pool = self.pool
+        if len(pool.slots) >= pool.limit:
+            pool.clear()
+            self.lossy.clear()
+        units = [self.UNIT.findall(" " + text) for text in texts]
+        unknown = list({u for us in units for u in us if u not in pool.slots})
+        for unit, ids in zip(unknown, self.model.encode([u[1:] for u in unknown], num_threads=1), strict=True):
+            slot = pool.add(unit, ids)
+            if self.decode(ids) != unit.encode():
+                self.lossy.add(slot)
+        slots = [np.fromiter(map(pool.slots.__getitem__, us), np.int64, len(us)) for us in units]
+        gathered, after = pool.gather(np.concatenate(slots) if slots else np.zeros(0, np.int64))
+        edge = after[np.cumsum([0, *map(len, slots)])]
+        result = [gathered[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        if self.lossy:
+            bad = np.fromiter(self.lossy, np.int64, len(self.lossy))
+            for i, s in enumerate(slots):
+                if np.isin(s, bad).any():
+                    result[i] = np.array(self.model.encode(texts[i]), np.uint32)
+        return result
+
+
 class LowerWords(Vocabulary):
     """The lower-casing word-end BPE of a tokenizer file."""
 
@@ -269,6 +356,16 @@ def byte_level(ranks_path: str, pattern: str) -> ByteLevel:
     return ByteLevel(ranks_path, pattern)
 
 
+@cache
+def byte_level_file(path: str) -> ByteLevelFile:
+    return ByteLevelFile(path)
+
+
+@cache
+def pieces(path: str) -> Pieces:
+    return Pieces(path)
+
+
 @cache
 def lower_words(path: str) -> LowerWords:
     return LowerWords(path)
