@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    alignment,
     bpe,
     jaccard,
     licences,
@@ -27,6 +28,8 @@ SQL: dict[str, str] = {}
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def query(fn: Query) -> Query:
@@ -103,4 +106,9 @@ def op12_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(documents(spark, folder))
 
 
+@query
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.report(documents(spark, folder), vocabulary(BYTE_TOKENIZER), vocabulary(PIECE_MODEL))
+
+
 SQL |= {"op5_line_dedup": line_dedup.SQL, "op6_quality_rules": quality_rules.SQL, "op12_mix_sources": mixing.SQL}
