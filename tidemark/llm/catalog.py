@@ -10,6 +10,7 @@ from tidemark.llm import (
     alignment,
     bpe,
     jaccard,
+    lexical,
     licences,
     line_dedup,
     mixing,
@@ -101,6 +102,11 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.suffix_sums(counts)
 
 
+@query
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.report(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 @query
 def op12_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(documents(spark, folder))
@@ -111,4 +117,9 @@ def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.report(documents(spark, folder), vocabulary(BYTE_TOKENIZER), vocabulary(PIECE_MODEL))
 
 
-SQL |= {"op5_line_dedup": line_dedup.SQL, "op6_quality_rules": quality_rules.SQL, "op12_mix_sources": mixing.SQL}
+SQL |= {
+    "op5_line_dedup": line_dedup.SQL,
+    "op6_quality_rules": quality_rules.SQL,
+    "op11_lexical_search": lexical.SQL,
+    "op12_mix_sources": mixing.SQL,
+}
