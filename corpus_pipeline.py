@@ -7,7 +7,6 @@ there is no twin; the stages are tested against plain versions.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import catalog, jaccard, line_dedup, packing, quality_cnn, quality_rules
 from tidemark.llm.common import SOLID, fresh
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import scratch_folder
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -28,7 +27,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are not depleted, without their hosts' boilerplate lines."""
-    return _counted(quality_rules.apply_rules(docs, many_docs=quality_rules.MANY_DOCS))
+    return _counted(quality_rules.apply_rules(docs))
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,9 +63,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each result but the last written to the shared folder and read again."""
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    """All stages, each result but the last written to the shared folder and read again; the folder
+    is removed when the application ends."""
+    folder = scratch_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")

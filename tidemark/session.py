@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning does the skew splitting and the size-checked broadcast conversion that
@@ -52,3 +54,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise once in reliable storage and cut the lineage, for frames read many times."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared checkpoint folder; it is removed when the application ends."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
+def stored(df: DataFrame, name: str = "rows", partition_by: str | None = None) -> DataFrame:
+    """The rows written once as Parquet in a scratch folder and read again, for frames read many times.
+
+    Readers prune columns, and partitions where `partition_by` names a column.
+    """
+    folder = scratch_folder(df.sparkSession, name)
+    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
+    writer.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
