@@ -42,3 +42,18 @@ def ids(df):
 
 
 ALL_IDS = sorted((r[0] is None, r[0] or 0) for r in ROWS)
+
+
+def regular_words(n: int) -> tuple[str, str]:
+    """Two different words of n letters (a power of two) with the same hash under every polynomial
+    modulo 2^64: a Thue-Morse word and its complement."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+# Small clean corpora in which nothing is shared.
+UNLIKE = {
+    "one": [(1, "just one document of seven words")],
+    "two": [(1, "alpha beta gamma delta epsilon zeta"), (2, "one two three four five six seven")],
+    "many": [(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(200)],
+}

@@ -75,6 +75,25 @@ def test_empty(spark):
     assert jaccard.one_of_each(none).collect() == []
 
 
+@pytest.mark.parametrize("name", edges.UNLIKE)
+def test_nothing_shared(spark, name):
+    rows = edges.UNLIKE[name]
+    assert _got(spark, rows) == brute(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, jaccard.one_of_each(df).collect())) == rows
+
+
+def test_last_group_shares_nothing(spark):
+    """Copies put shingles into some of many groups, the others have none that two sets share."""
+    rows = edges.UNLIKE["many"][:20] + [(500 + i, "only these five words " + "again " * i) for i in (1, 1, 2)]
+    assert _got(spark, rows, parts=64) == brute(rows)
+
+
+def test_regular_words_are_not_alike(spark):
+    rows = list(enumerate(edges.regular_words(2048)))
+    assert _got(spark, rows) == brute(rows)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_chains_copies_and_shared_passages(spark, seed):
     """Near copies at all distances, chains whose ends are not alike, passages in many documents."""

@@ -11,7 +11,7 @@ import pytest
 
 from tests.llm import edges
 from tests.parity import differences
-from tidemark.llm import line_dedup, sharding
+from tidemark.llm import jaccard, quality_rules, line_dedup, sharding
 
 
 def _shards(rows):
@@ -73,12 +73,12 @@ def _dedup(rows, width=3):
             result.append((doc_id, 0, 0, "", None))
             continue
         lines, gone = text.split("\n"), set()
-        for p in range(len(lines) - width + 1):
+        for p in range(max(1, len(lines) - width + 1)):
             window = tuple(lines[p : p + width])
             if not any(c not in " \t\n\x0b\x0c\r" for x in window for c in x):
                 continue
             if window in seen:
-                gone |= set(range(p, p + width))
+                gone |= set(range(p, p + len(window)))
             seen.add(window)
         kept = "\n".join(x for p, x in enumerate(lines) if p not in gone)
         result.append((doc_id, len(lines), len(gone), ",".join(map(str, sorted(gone))), hashlib.sha256(kept.encode()).hexdigest()))
@@ -91,9 +91,28 @@ def test_line_dedup_of_awkward_documents(spark):
     assert Counter(tuple(r) for r in line_dedup.report(docs).collect()) == Counter(_dedup(rows))
 
 
+def test_rows_keep_their_numbers_when_the_scan_is_split_otherwise(spark, tmp_path):
+    """Repeated rows and copies under two splits of the same files: the same rows stay."""
+    rows = [(i % 7, f"first {i % 5}\nsecond {i % 5}\nthird {i % 3}\n" + "filler words of a text " * 20, f"h{i % 2}") for i in range(400)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(6).write.parquet(f"{tmp_path}/t")
+    before, found = spark.conf.get("spark.sql.files.minPartitionNum", None), []
+    try:
+        for n in ("1", "16"):
+            spark.conf.set("spark.sql.files.minPartitionNum", n)
+            docs = spark.read.parquet(f"{tmp_path}/t")
+            done = [line_dedup.dedup_lines(docs), jaccard.one_of_each(docs), quality_rules.apply_rules(docs)]
+            spark.conf.set("spark.sql.files.minPartitionNum", "17" if n == "1" else "1")  # as when executors come or go
+            found.append([Counter(map(tuple, d.collect())) for d in done])
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum") if before is None else spark.conf.set("spark.sql.files.minPartitionNum", before)
+    assert found[0] == found[1]
+
+
 def test_line_dedup_keeps_columns(spark):
     done = line_dedup.dedup_lines(edges.frame(spark), removed="gone_lines")
     assert done.columns == [*edges.frame(spark).columns, "gone_lines"]
+    with pytest.raises(ValueError):
+        line_dedup.dedup_lines(edges.frame(spark), removed="score")
     assert edges.ids(done) == edges.ALL_IDS
 
 
@@ -108,7 +127,7 @@ def test_short_texts_form_one_window(spark):
     rows = [(1, "one line"), (2, "one line"), (3, "one line\n"), (4, "one line\n"), (5, "a\nb"), (6, "a\nb"), (7, "b\na"),
             (8, ""), (9, ""), (10, " \n\t"), (11, " \n\t"), (12, None), (13, "a\nb\nx"), (14, "p\nq\nr"), (15, "p\nq\nr"), (None, "one line")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
-    done = line_dedup.dedup_lines(docs, removed="gone", short=True).collect()
+    done = line_dedup.dedup_lines(docs, removed="gone").collect()
     gone = {r["doc_id"]: r["gone"] for r in done if r["gone"]}
     assert gone == {1: [0], 2: [0], 4: [0, 1], 6: [0, 1], 15: [0, 1, 2]}
     assert {r["doc_id"]: r["text"] for r in done} == dict(rows) | dict.fromkeys(gone, "")

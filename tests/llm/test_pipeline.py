@@ -97,9 +97,25 @@ def test_awkward_documents_pass_all_stages(spark, data, tmp_path):
         docs = spark.read.parquet(f"{tmp_path}/{name}")
 
 
+def test_empty_and_unlike_documents_pass_all_stages(spark, data, tmp_path):
+    schema = spark.read.parquet(f"{data}/documents.parquet").schema
+    for name, rows in {"none": [], **edges.UNLIKE}.items():
+        (tmp_path / name).mkdir()
+        table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+        table.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.read.parquet(f"{data}/labels.parquet").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        docs = spark.read.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for step, stage in corpus_pipeline.STAGES[2:]:
+            stage(spark, docs, data).write.parquet(f"{tmp_path}/{name}/{step}")
+            docs = spark.read.parquet(f"{tmp_path}/{name}/{step}")
+        assert {r["doc_id"] for r in docs.select("doc_id").collect()} == {i for i, _ in rows}
+        run = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert {r["doc_id"] for r in run} <= {i for i, _ in rows}
+
+
 def test_registered():
     names = list(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(catalog.SQL) <= set(names)
 

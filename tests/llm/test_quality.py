@@ -66,6 +66,24 @@ def test_rules_on_the_table(spark, data):
     _compare(spark, table)
 
 
+def test_regular_lines_are_not_equal(spark):
+    a, b = edges.regular_words(2048)
+    words = [" ".join(x) for x in edges.regular_words(2048)]
+    texts = [f"{a}\n{b}", f"{words[0]}\n{words[1]}", f"{a}\n{a}"]
+    _compare(spark, pa.table({"doc_id": [0, 1, 2], "source": ["s"] * 3, "text": texts}))
+    rows = quality_rules.report(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id int, text string, source string"))
+    assert {r["doc_id"]: r["n_dup_lines"] for r in rows.collect()} == {0: 0, 1: 0, 2: 1}
+
+
+def test_line_limit_binds_in_a_large_host(spark):
+    """A line in 201 of 6,000 texts of a host (3 %) is boilerplate, one in 200 is not."""
+    rows = [(i, "h", f"line {i}\n" + ("often seen\n" if i < 201 else "") + ("less often seen" if i < 200 else "")) for i in range(6000)]
+    table = pa.table({"doc_id": [r[0] for r in rows], "source": [r[1] for r in rows], "text": [r[2] for r in rows]})
+    docs = _compare(spark, table)
+    hits = {r["doc_id"]: r["boilerplate_words"] for r in quality_rules.report(docs).collect()}
+    assert all(hits[i] == (2 if i < 201 else 0) for i in hits)
+
+
 def test_rules_on_awkward_documents(spark):
     rows = quality_rules.report(edges.frame(spark))
     assert edges.ids(rows) == edges.ALL_IDS

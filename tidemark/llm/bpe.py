@@ -72,30 +72,37 @@ def decode(df: DataFrame, ranks: str, pattern: str, tokens: str = "tokens", deco
 
 
 def round_trip(
-    df: DataFrame, ranks: str, pattern: str, text: str = "text", tokens: str = "tokens", decoded: str = "decoded"
+    df: DataFrame, ranks: str, pattern: str, text: str = "text", tokens: str = "tokens", decoded: str = "decoded",
+    split: str = "n_split",
 ) -> DataFrame:
-    """`encode` and `decode` in one pass; the text itself is dropped."""
+    """`encode` with offsets and `decode` in one pass; the text itself is dropped. `split` counts the
+    tokens that begin inside a character, whose span overlaps that of the token before."""
     require(df, text)
-    schema = widened(df.drop(text), f"`{tokens}` array<int>, `{decoded}` binary")
+    schema = widened(df.drop(text), f"`{tokens}` array<int>, `{decoded}` binary, `{split}` bigint")
 
     def run(batches):
         vocabulary = byte_level(ranks, pattern)
         for part in _slices(batches, text):
-            ids = vocabulary.encode_all(strings(part, text))
+            texts = strings(part, text)
+            ids = vocabulary.encode_all(texts)
             done = [vocabulary.decode(i.tolist()) for i in ids]
+            spans = [vocabulary.offsets(t, i) for t, i in zip(texts, ids, strict=True)]
+            inside = [int((start[1:] < end[:-1]).sum()) for start, end in spans]
             part = part.remove_column(part.schema.get_field_index(text))
-            yield _replace(
-                part, {tokens: pa.array(ids, pa.list_(pa.int32())), decoded: pa.array(done, pa.binary())}
-            )
+            yield _replace(part, {
+                tokens: pa.array(ids, pa.list_(pa.int32())), decoded: pa.array(done, pa.binary()),
+                split: pa.array(inside, pa.int64()),
+            })
 
     return df.mapInArrow(run, schema)
 
 
-def digests(df: DataFrame, tokens: str = "tokens", decoded: str = "decoded") -> DataFrame:
-    """Per document: number of ids, digest of the decimal ids and of the decoded bytes."""
+def digests(df: DataFrame, tokens: str = "tokens", decoded: str = "decoded", split: str = "n_split") -> DataFrame:
+    """Per document: number of ids, digests of the decimal ids and of the decoded bytes, split tokens."""
     return df.select(
         "doc_id",
         F.size(tokens).cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col(tokens).cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col(decoded), 256).alias("decoded_sha256"),
+        F.col(split).alias("n_split"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, stored
 
 # A character that is neither a blank nor one of tab to carriage return.
 SOLID = "[^\\x20\\x09-\\x0D]"
@@ -51,6 +51,15 @@ def staged(df: DataFrame) -> DataFrame:
     return checkpointed(df)
 
 
+def numbered_once(df: DataFrame, row: str) -> DataFrame:
+    """The rows with a number in the order of the table, written once to the shared folder.
+
+    Numbers given anew in every pass would differ when the scan is split otherwise, as it is when
+    executors come or go.
+    """
+    return stored(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
+
 def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about `limit` bytes of text; a longer text is a range of its own."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)

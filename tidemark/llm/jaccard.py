@@ -26,7 +26,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, column, components, fresh, require, set_hashes, shingle_hashes, staged
+from tidemark.llm.common import chunks, column, components, fresh, numbered_once, require, set_hashes, shingle_hashes, staged
 
 WIDTH = 5
 # Two sets link when 100 * intersection >= PERCENT * union.
@@ -78,7 +78,9 @@ def _blobs(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 def _by_part(part: np.ndarray) -> Iterator[tuple[int, slice]]:
     """Slices of an array sorted by part."""
-    edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else []
+    if not len(part):
+        return
+    edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
     for a, b in zip(edges, [*edges[1:], len(part)], strict=True):
         yield int(part[a]), slice(a, b)
 
@@ -449,13 +451,12 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without all but one of each component: the least id stays, of equal ids the
-    earlier row. Documents without words all stay. All columns are kept.
-
-    Give a table scan or staged rows: the row numbers of two passes must agree.
+    earlier row. Documents without words all stay. All columns are kept. The rows are written once
+    with a number, which tells equal ones apart.
     """
     require(docs, id, text)
     row = fresh(docs, "_row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = numbered_once(docs, row)
     slim = numbered.select(F.col(row).alias("doc_id"), F.col(text).cast("string").alias("text"))
     doc_map, linked = link_classes(slim)
     named = doc_map.join(linked, doc_map["set_id"] == linked["id"], "left").select(

@@ -5,29 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SOLID, fresh, require
+from tidemark.llm.common import SOLID, fresh, numbered_once, require, widened
 
 WINDOW = 3
 
 
-def windows(docs: DataFrame, row: str, id: str, lines: str, width: int, short: bool = False) -> DataFrame:
-    """(row, id, pos, h1, h2) of every window of `width` lines that holds a solid character; with
-    `short`, also of the one window of all lines, hashed with their number, of a text of fewer."""
+def windows(docs: DataFrame, row: str, id: str, lines: str, width: int) -> DataFrame:
+    """(row, id, pos, h1, h2) of every window of `width` lines that holds a solid character; a text of
+    fewer lines is one window of them all, hashed with their number."""
     parts = ", ".join(f"`{lines}`[i + {k}]" for k in range(width))
     solid = " or ".join(f"`{lines}`[i + {k}] rlike '{SOLID}'" for k in range(width)).replace("\\", "\\\\")
     hashed = (
         f"transform(sequence(0, size(`{lines}`) - {width}), i -> struct(i as pos, "
         f"if({solid}, xxhash64({parts}), null) as h1, xxhash64('second', {parts}) as h2))"
     )
-    if short:
-        some = f"exists(`{lines}`, x -> x rlike '{SOLID}')".replace("\\", "\\\\")
-        whole = f"size(`{lines}`), `{lines}`"
-        hashed = (
-            f"if(size(`{lines}`) >= {width}, {hashed}, array(struct(0 as pos, "
-            f"if({some}, xxhash64('short', {whole}), null) as h1, xxhash64('second short', {whole}) as h2)))"
-        )
+    some = f"exists(`{lines}`, x -> x rlike '{SOLID}')".replace("\\", "\\\\")
+    whole = f"size(`{lines}`), `{lines}`"
+    hashed = (
+        f"if(size(`{lines}`) >= {width}, {hashed}, array(struct(0 as pos, "
+        f"if({some}, xxhash64('short', {whole}), null) as h1, xxhash64('second short', {whole}) as h2)))"
+    )
     return (
-        docs.where(F.size(lines) >= (1 if short else width))
+        docs.where(F.size(lines) >= 1)
         .select(F.col(row).alias("row"), F.col(id).alias("id"), F.explode(F.expr(hashed)).alias("w"))
         .select("row", "id", "w.pos", "w.h1", "w.h2")
         .where("h1 is not null")
@@ -55,26 +54,28 @@ def later_windows(found: DataFrame) -> DataFrame:
 
 def dedup_lines(
     docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WINDOW,
-    removed: str | None = None, total: str | None = None, short: bool = False,
+    removed: str | None = None, total: str | None = None,
 ) -> DataFrame:
     """The documents, without lines that lie in a window seen before.
 
     Lines are the parts between line feeds. A window is `width` consecutive lines of one document,
-    blank ones included, at least one of them not blank; windows are equal when two 64-bit hashes
-    of their lines are. The first occurrence, by (id, row, position), stays; all lines covered by any
-    later window go, overlaps merging. Null texts stay as they are, and so do texts of fewer lines
-    unless `short`: then all lines of one are its window, and later texts of the same lines become
-    empty. A document may become empty. Equal rows count as documents of their own, in the order of the
-    table; a null id comes first. All columns are kept; `removed` names a column for the sorted
-    positions that went, `total` one for the number of lines.
-
-    Give a table scan or staged rows: the row numbers of two passes must agree.
+    blank ones included, at least one of them not blank; a text of fewer lines is one window of all of
+    them. Windows are equal when two 64-bit hashes of their lines are. The first occurrence, by (id,
+    row, position), stays; all lines covered by any later window go, overlaps merging. Null texts
+    stay as they are. A document may become empty. Equal rows count as documents of their own, in the
+    order of the table; a null id comes first. All columns are kept; `removed` names a column for the
+    sorted positions that went, `total` one for the number of lines, both new.
+
+    The rows are written once with a number, which carries the positions.
     """
     require(docs, id, text)
+    for name in (removed, total):
+        if name:
+            widened(docs, f"`{name}` int")
     row, lines, gone, keep = (fresh(docs, f"_{x}") for x in ("row", "lines", "gone", "keep"))
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = numbered_once(docs, row)
     split = numbered.select(row, id, F.split(text, "\n").alias(lines))
-    later = later_windows(windows(split, row, id, lines, width, short))
+    later = later_windows(windows(split, row, id, lines, width))
     # at most one entry per line of the document
     positions = later.groupBy(F.col("row").alias(row)).agg(F.collect_set("pos").alias(gone))
     joined = numbered.join(positions, row, "left").withColumn(lines, F.split(text, "\n"))
@@ -113,14 +114,15 @@ WITH l AS (
         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
     FROM documents
 ), w AS (
-    SELECT doc_id, pos, line AS a,
+    SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id) AS n, line AS a,
         lead(line, 1) OVER (PARTITION BY doc_id ORDER BY pos) AS b,
         lead(line, 2) OVER (PARTITION BY doc_id ORDER BY pos) AS c
     FROM l
 ), f AS (
-    SELECT doc_id, pos, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) AS nth
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY least(n, 3), a, b, c ORDER BY doc_id, pos) AS nth
     FROM w
-    WHERE c IS NOT NULL AND regexp_matches(a || b || c, '[^\x20\x09-\x0D]')
+    WHERE (c IS NOT NULL OR (n < 3 AND pos = 0))
+        AND regexp_matches(a || coalesce(b, '') || coalesce(c, ''), '[^\x20\x09-\x0D]')
 ), gone AS (
     SELECT DISTINCT doc_id, pos + k AS pos FROM f, (VALUES (0), (1), (2)) AS t(k) WHERE nth > 1
 ), s AS (

@@ -10,16 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    STEP, Spans, chunks, column, fresh, mix, require, spans, staged, stretch_hashes, text_bytes,
+    STEP, Spans, chunks, column, fresh, mix, numbered_once, require, spans, staged, stretch_hashes, text_bytes,
     text_hashes, widened,
 )
 
 # A line is boilerplate of its host when more than MIN_DOCS different texts and more than SHARE
-# percent of the host's different texts hold it.
+# percent of the host's different texts hold it, or more than MANY_DOCS whatever their share: the
+# limit does not grow with the host beyond that number.
 MIN_DOCS = 20
 SHARE = 5
-# Where the caller asks for it, more than MANY_DOCS different texts are enough whatever their share,
-# so from 4,000 texts on the limit no longer grows with the host.
 MANY_DOCS = 200
 # A document of which more than this percent of the words lie in boilerplate lines is depleted.
 DEPLETED = 50
@@ -133,21 +132,21 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def boilerplate(
-    measured: DataFrame, min_docs: int = MIN_DOCS, share: int = SHARE, many_docs: int | None = None,
+    measured: DataFrame, min_docs: int = MIN_DOCS, share: int = SHARE, many_docs: int = MANY_DOCS,
 ) -> DataFrame:
-    """(host_key, line_key) of lines above both limits, or above `many_docs` where that is given,
-    from rows with host_key and LINES.
+    """(host_key, line_key) of lines above both limits or above `many_docs`, from rows with host_key
+    and LINES.
 
-    Equal texts of a host count once, so exact copies do not make their lines boilerplate.
+    Documents of equal text are one document here: else each line of a text copied more than
+    `many_docs` times would be boilerplate, and all of its copies would be rejected as depleted, the
+    first one too. Copies are left to the operators that keep one of them.
     Distinct texts are counted with a partial step on (line, text), so a line that a third of the
     documents hold is spread over all tasks.
     """
     lines = measured.select("host_key", "text_key", F.explode("line_keys").alias("line_key"))
     counts = lines.groupBy("host_key", "line_key").agg(F.count_distinct("text_key").alias("docs"))
     hosts = measured.groupBy("host_key").agg(F.count_distinct("text_key").alias("host_docs"))
-    above = F.col("docs") * 100 > F.col("host_docs") * share
-    if many_docs is not None:
-        above = above | (F.col("docs") > many_docs)
+    above = (F.col("docs") * 100 > F.col("host_docs") * share) | (F.col("docs") > many_docs)
     return (
         counts.where(F.col("docs") > min_docs).join(hosts, "host_key")
         .where(above)
@@ -155,20 +154,17 @@ def boilerplate(
     )
 
 
-def _slim(docs: DataFrame, host: str, text: str, *more) -> DataFrame:
+def _slim(docs: DataFrame, row, host: str, text: str, *more) -> DataFrame:
     require(docs, host, text)
-    return docs.select(
-        *more, F.monotonically_increasing_id().alias("row"), F.xxhash64(host).alias("host_key"),
-        F.col(text).alias("text"),
-    )
+    return docs.select(*more, row.alias("row"), F.xxhash64(host).alias("host_key"), F.col(text).alias("text"))
 
 
-def _hits(measured: DataFrame, many_docs: int | None = None) -> DataFrame:
+def _hits(measured: DataFrame) -> DataFrame:
     """(row, line_key, words) of every boilerplate line of every document."""
     lines = measured.select(
         "row", "host_key", F.explode(F.arrays_zip("line_keys", "line_words")).alias("line")
     ).select("row", "host_key", F.col("line.line_keys").alias("line_key"), F.col("line.line_words").alias("words"))
-    return lines.join(boilerplate(measured, many_docs=many_docs), ["host_key", "line_key"]).drop("host_key")
+    return lines.join(boilerplate(measured), ["host_key", "line_key"]).drop("host_key")
 
 
 def judge(docs: DataFrame, id: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
@@ -179,7 +175,7 @@ def judge(docs: DataFrame, id: str = "doc_id", host: str = "source", text: str =
     boilerplate lines of the host. Null or empty texts have no words and fail; documents without a
     host (null) form one host. Every row is judged, repeated ones alike. Other columns are not read.
     """
-    measured = staged(measure(_slim(docs, host, text, F.col(id).alias("id"))))
+    measured = staged(measure(_slim(docs, F.monotonically_increasing_id(), host, text, F.col(id).alias("id"))))
     removed = _hits(measured).groupBy("row").agg(F.sum("words").alias("removed"))
     return (
         measured.drop("line_keys", "line_words", "text_key", "host_key").join(removed, "row", "left").drop("row")
@@ -223,24 +219,19 @@ def measure_lines(lines: pa.Array) -> list[int | None]:
     return [k[0] if k else None for k in keys]
 
 
-def apply_rules(
-    docs: DataFrame, host: str = "source", text: str = "text", many_docs: int | None = None,
-) -> DataFrame:
-    """The kept documents with their boilerplate lines removed and all columns as they were.
-
-    Without `many_docs` the verdicts are those of `judge`; with it, lines in more than that many
-    different texts of a host are boilerplate too.
-    Give a table scan or staged rows: the row numbers of two passes must agree.
-    """
+def apply_rules(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+    """The documents that `judge` keeps, with their boilerplate lines removed and all columns as they
+    were. The rows are written once with a number, which carries the verdicts."""
+    require(docs, host, text)
     row, gone = (fresh(docs, f"_{x}") for x in ("row", "gone"))
-    measured = staged(measure(_slim(docs, host, text)))
-    found = _hits(measured, many_docs).groupBy("row").agg(F.sum("words").alias("words"), F.collect_set("line_key").alias(gone))
+    numbered = numbered_once(docs, row)
+    measured = staged(measure(_slim(numbered, F.col(row), host, text)))
+    found = _hits(measured).groupBy("row").agg(F.sum("words").alias("words"), F.collect_set("line_key").alias(gone))
     verdict = (
         measured.select("row", "n_words", _failed().alias("failed")).join(found, "row", "left")
         .where(~F.col("failed") & _enough(F.coalesce("words", F.lit(0))))
         .select(F.col("row").alias(row), gone)
     )
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
     joined = numbered.join(verdict, row).drop(row)
     names = docs.columns
     at = names.index(text)
@@ -275,7 +266,7 @@ WITH d AS (
     SELECT source, normal, count(DISTINCT content) AS docs FROM k GROUP BY source, normal
 ), flagged AS (
     SELECT c.source, c.normal FROM counts c JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
-    WHERE docs > {MIN_DOCS} AND docs * 100 > host_docs * {SHARE}
+    WHERE docs > {MANY_DOCS} OR (docs > {MIN_DOCS} AND docs * 100 > host_docs * {SHARE})
 ), gone AS (
     SELECT doc_id, sum(words) AS words FROM k JOIN flagged f
         ON k.source IS NOT DISTINCT FROM f.source AND k.normal = f.normal

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, column, require, strings
+from tidemark.llm.common import chunks, column, require, staged, strings
 from tidemark.llm.tokens import byte_level
 
 # Lengths per block of the two-level sums.
@@ -31,8 +30,9 @@ def lengths(df: DataFrame, ranks: str, pattern: str, text: str = "text") -> Data
 
 
 def histogram(df: DataFrame, ranks: str, pattern: str, text: str = "text") -> DataFrame:
-    """(length, docs) for every length that occurs; counts are summed before the shuffle."""
-    return lengths(df, ranks, pattern, text).groupBy("length").agg(F.count("*").alias("docs"))
+    """(length, docs) for every length that occurs; counts are summed before the shuffle. Staged, so that
+    readers of several sums do not encode the texts again."""
+    return staged(lengths(df, ranks, pattern, text).groupBy("length").agg(F.count("*").alias("docs")))
 
 
 def suffix_sums(counts: DataFrame) -> DataFrame:
@@ -71,20 +71,25 @@ def suffix_sums(counts: DataFrame) -> DataFrame:
 
 
 def at_limits(sums: DataFrame, limits: Sequence[int]) -> DataFrame:
-    """(limit, tokens_kept, docs_cut, tokens_lost) for any context limits, from `suffix_sums`."""
-    spark = sums.sparkSession
-    wanted = spark.createDataFrame([(int(x),) for x in limits], "`limit` bigint")
-    longer = F.col("length") > F.col("limit")
-    kept = F.least("length", "limit") * F.col("docs")
-    # a row per length and limit, limits being the caller's short list
-    return (
-        wanted.join(sums, F.lit(True), "left")
-        .groupBy("limit")
-        .agg(
-            F.coalesce(F.sum(kept), F.lit(0)).alias("tokens_kept"),
-            F.coalesce(F.sum(F.when(longer, F.col("docs"))), F.lit(0)).alias("docs_cut"),
-            F.coalesce(F.sum(F.when(longer, (F.col("length") - F.col("limit")) * F.col("docs"))), F.lit(0)).alias("tokens_lost"),
-        )
+    """(limit, tokens_kept, docs_cut, tokens_lost) for any context limits, read from `suffix_sums`.
+
+    What a limit cuts is told by the suffix sums at the least length above it, so one row per limit
+    is picked in one pass; limits are the caller's list, and an empty table has zeros.
+    """
+    limits = sorted({int(x) for x in limits})
+    if not limits:
+        return sums.sparkSession.createDataFrame([], "`limit` bigint, tokens_kept bigint, docs_cut bigint, tokens_lost bigint")
+    above = F.struct("length", "docs_at_least", "tokens_at_least")
+    picked = sums.agg(
+        F.coalesce(F.max("tokens_at_least"), F.lit(0)).alias("all_tokens"),
+        F.array(*[
+            F.struct(F.lit(x).cast("bigint").alias("limit"), F.min(F.when(F.col("length") > x, above)).alias("next")) for x in limits
+        ]).alias("at"),
+    ).select("all_tokens", F.explode("at").alias("at"))
+    cut = F.coalesce("at.next.docs_at_least", F.lit(0))
+    lost = F.coalesce("at.next.tokens_at_least", F.lit(0)) - F.col("at.limit") * cut
+    return picked.select(
+        "at.limit", (F.col("all_tokens") - lost).alias("tokens_kept"), cut.alias("docs_cut"), lost.alias("tokens_lost")
     )
 
 
@@ -96,9 +101,3 @@ def quantiles(sums: DataFrame, shares: Sequence[float]) -> DataFrame:
         wanted.join(sums.select("length", "share_up_to"), F.col("share_up_to") >= F.col("share"), "left")
         .groupBy("share").agg(F.min("length").alias("length"))
     )
-
-
-def reference_sums(values: Sequence[int]) -> dict[int, tuple[int, int, int]]:
-    """Per occurring length: documents and tokens of at least that length, tokens when cut there."""
-    v = np.asarray(values)
-    return {int(x): (int((v >= x).sum()), int(v[v >= x].sum()), int(np.minimum(v, x).sum())) for x in set(v.tolist())}

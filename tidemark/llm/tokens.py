@@ -48,6 +48,17 @@ def as_chars(data: bytes) -> str:
     return data.decode("latin-1").translate(_TO_CHAR)
 
 
+_TO_BYTE = {c: b for b, c in enumerate(byte_to_char())}
+
+
+def as_bytes(token: str) -> bytes:
+    """The bytes of a vocabulary entry, by the byte table in reverse; an entry with other characters is text."""
+    try:
+        return bytes([_TO_BYTE[c] for c in token])
+    except KeyError:
+        return token.encode()
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -196,12 +207,16 @@ class ByteLevel(Vocabulary):
 
         ranks = read_ranks(ranks_path)
         # ignore_merges: a pre-token that is itself a token is taken whole, as rank files do
-        super().__init__(BPE({as_chars(t): r for t, r in ranks.items()}, _merges(ranks), ignore_merges=True))
+        vocabulary = {as_chars(t): r for t, r in ranks.items()}
+        super().__init__(BPE(vocabulary, _merges(ranks), ignore_merges=True))
         self.pattern = regex.compile(pattern)
         self.known_pattern = pattern == KNOWN_PATTERN
-        self.token_bytes = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.token_bytes[rank] = token
+        self._read_bytes(vocabulary)
+
+    def _read_bytes(self, vocabulary: dict[str, int]) -> None:
+        self.token_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.token_bytes[i] = as_bytes(token)
         self.token_sizes = np.array([len(t) for t in self.token_bytes], np.int64)
 
     def whole(self, text: str) -> list[int]:
@@ -261,13 +276,7 @@ class ByteLevelFile(ByteLevel):
             kind["normalizer"] is None
             and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
         )
-        byte = {c: b for b, c in enumerate(byte_to_char())}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.token_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            shown = all(c in byte for c in token)
-            self.token_bytes[i] = bytes(byte[c] for c in token) if shown else token.encode()
-        self.token_sizes = np.array([len(t) for t in self.token_bytes], np.int64)
+        self._read_bytes(self.tokenizer.get_vocab(with_added_tokens=True))
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
