@@ -244,7 +244,8 @@ def test_model_loop(spark, split_frame, tmp_path):
 
     row = models.registry_row(model, results, dataset.split_stats(split)).first()
     assert row["model_name"] == "model_lr_2024_03_01" and row["auc_oot"] == got["oot"]
-    loaded = models.load(models.save(model, str(tmp_path / "bank")), "model_lr", day, ["x", "y"])
+    loaded = models.load(spark, models.save(spark, model, str(tmp_path / "bank")))
+    assert loaded == model
 
     reference, current = [dt.date(2024, 1, 1), dt.date(2024, 2, 1)], dt.date(2024, 3, 1)
     run = monitoring.monitor(loaded, store, primary, current, reference, str(tmp_path / "monitor"))

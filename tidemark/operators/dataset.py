@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import split_dates
+from tidemark.functions.dates import shift_months, split_dates
+from tidemark.operators.lookup import join_one_row
 from tidemark.operators.order_stats import exact_quantiles
 from tidemark.operators.typing import drop_if_all_null, pick_features
 from tidemark.rules import TrainingWindow
@@ -65,7 +66,7 @@ def split_train_test_oot(
     Rows outside the windows or without a label leave. Test rows are those with the smallest
     key hashes, ceil(share * rows) of each label. The cut-off hash per label comes from exact
     order statistics, so no label is ranked in one task; the join side has a row per label.
-    `data` is read four times: pass a stored or checkpointed training set.
+    `data` is read four times: pass a stored training set.
     """
     days = split_dates(train_date, window)
     day = F.col("snapshot_date")
@@ -93,6 +94,60 @@ def split_train_test_oot(
     return rows.join(F.broadcast(cut), "label", "left").select(*data.columns, split.alias("split"))
 
 
+def month_windows(train_dates: Sequence[dt.date], window: TrainingWindow = TrainingWindow()) -> list[tuple]:
+    """(month, train_date, part) for every month and every train date whose windows hold it."""
+    rows = []
+    for day in sorted(set(train_dates)):
+        days = split_dates(day, window)
+        for part, start, end in (("fit", days.train_start, days.train_end), ("oot", days.oot_start, days.oot_end)):
+            month = start.replace(day=1)
+            while month <= end:
+                rows.append((month, day, part))
+                month = shift_months(month, 1)
+    return rows
+
+
+def split_many(
+    data: DataFrame,
+    train_dates: Sequence[dt.date],
+    window: TrainingWindow = TrainingWindow(),
+    keys: Sequence[str] = ("Customer_ID", "snapshot_date"),
+) -> tuple[DataFrame, DataFrame]:
+    """The splits of `split_train_test_oot` for many train dates from one reading of the training set.
+
+    Gives the rows with train_date and split, one per date whose windows hold the row's month, and
+    (train_date, label, n_fit, cut): the labelled rows a date may train or test on and the largest
+    hash of a test row. A month lies in the windows of a bounded number of dates, told by a table of
+    months that is broadcast: dates times the months of a window. Snapshots lie on the first of
+    their month, as windows begin there. Pass a stored training set.
+    """
+    spark = data.sparkSession
+    if clash := {"train_date", "split"} & set(data.columns):
+        raise ValueError(f"the table has columns {sorted(clash)} already")
+    months = spark.createDataFrame(month_windows(train_dates, window), "_month date, train_date date, _part string")
+    rows = (
+        data.where(F.col("label").isNotNull())
+        .withColumns({"_month": F.trunc("snapshot_date", "month"), "_hash": hash_fraction(keys, window.seed)})
+        .join(F.broadcast(months), "_month")
+    )
+    cuts = exact_quantiles(
+        rows.where(F.col("_part") == "fit"),
+        "_hash",
+        [round(1 - window.train_ratio, 9)],
+        by=["train_date", "label"],
+        interpolate=False,
+        name="_cut",
+    ).select("train_date", "label", F.col("n").alias("n_fit"), F.get("_cut", F.lit(0)).alias("cut"))
+    split = (
+        F.when(F.col("_part") == "oot", F.lit("oot"))
+        .when(F.col("_hash") <= F.col("cut"), F.lit("test"))
+        .otherwise(F.lit("train"))
+    )
+    # a row per date and label
+    placed = rows.join(F.broadcast(cuts.drop("n_fit")), ["train_date", "label"], "left")
+    return placed.select("train_date", *data.columns, split.alias("split")), cuts
+
+
 def split_stats(split: DataFrame) -> DataFrame:
     """Rows and positive rate per split."""
     return split.groupBy("split").agg(
@@ -105,7 +160,8 @@ def standard_scale(
 ) -> DataFrame:
     """(x - mean) / population deviation, fitted on the rows under `fit_on` only.
 
-    The fitted numbers are one row, used as a scalar subquery. A constant column is centred only.
+    The fitted numbers are one row, which is joined to all others once. A constant column is centred
+    only. `data` is read twice: pass a stored table.
     """
     moments = [
         F.struct(
@@ -114,10 +170,10 @@ def standard_scale(
         ).alias(c)
         for c in columns
     ]
-    fitted = data.agg(F.struct(*moments).alias("fitted")).scalar()
+    joined = join_one_row(data, data.agg(F.struct(*moments).alias("_fitted")))
     scaled = []
     for c in columns:
-        spread = fitted[c]["std"]
+        spread = F.col(f"_fitted.{c}.std")
         spread = F.when(spread == 0, F.lit(1.0)).otherwise(spread)
-        scaled.append(((F.col(c) - fitted[c]["mean"]) / spread).alias(c))
-    return data.select(*keep, *scaled)
+        scaled.append(((F.col(c) - F.col(f"_fitted.{c}.mean")) / spread).alias(c))
+    return joined.select(*keep, *scaled)

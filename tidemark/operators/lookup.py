@@ -47,3 +47,8 @@ def lookup(
 def label_lookup(df: DataFrame, codes: DataFrame, id_name: str) -> DataFrame:
     """Left join from a bin id to its label."""
     return df.join(F.broadcast(codes), id_name, "left")
+
+
+def join_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
+    """Add the columns of a table of one row, such as global aggregates, by one broadcast."""
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one.withColumn("_one", F.lit(1))), "_one").drop("_one")

@@ -1,4 +1,4 @@
-"""Model training, random search, scoring and the model registry on Spark ML."""
+"""Model training by random search, scoring and the model registry."""
 
 from __future__ import annotations
 
@@ -11,19 +11,21 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import split_dates
+from tidemark.operators import linear_search
+from tidemark.operators.dataset import hash_fraction
 from tidemark.operators.metrics import auc_gini
 from tidemark.operators.typing import drop_if_all_null, fill_nulls
 from tidemark.rules import TrainingWindow
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, stored
 
 # Search spaces and budgets.
 LR_SPACE = {
@@ -32,7 +34,6 @@ LR_SPACE = {
     "class_weight": ["none", "balanced"],
 }
 LR_DRAWS = 40
-LR_MAX_ITER = 2000
 GBT_SPACE = {
     "n_estimators": [25, 50],
     "max_depth": [2, 3],
@@ -50,12 +51,31 @@ ROWS_PER_PARTITION = 100_000
 TREE_MISSING = -1e9
 
 
+@dataclass(frozen=True)
+class LinearModel:
+    """A logistic model given by its weights; a missing feature counts as 0."""
+
+    features: tuple[str, ...]
+    weights: tuple[float, ...]
+    intercept: float = 0.0
+
+    def as_json(self) -> str:
+        return json.dumps({"kind": "linear", "weights": self.weights, "intercept": self.intercept})
+
+    def probability(self) -> Column:
+        terms = (
+            F.lit(w) * F.coalesce(F.col(f).cast("double"), F.lit(0.0))
+            for f, w in zip(self.features, self.weights, strict=True)
+        )
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-sum(terms, F.lit(self.intercept))))
+
+
 @dataclass(frozen=True)
 class TrainedModel:
     family: str
     train_date: dt.date
     features: tuple[str, ...]
-    pipeline: PipelineModel
+    fitted: LinearModel | PipelineModel
     params: Mapping[str, object]
     cv_auc: float | None = None
 
@@ -88,29 +108,37 @@ def train(
 ) -> TrainedModel:
     """Random search with cross-validated AUC on the train split, refit on all of it.
 
-    The prepared rows are placed and sorted by key, so that folds and subsamples repeat, and
-    checkpointed once: every draw and fold reads them, and a lost executor must not recompute
-    the feature joins. Only class counts reach the driver.
+    The prepared rows are stored once: every pass or fit reads them, and a lost executor must not
+    recompute the feature joins.
     """
     chosen = split.where(F.col("split") == "train")
-    counts = chosen.agg(F.count("*").alias("n"), F.sum("label").alias("pos")).first()
-    n_parts = max(1, counts["n"] // ROWS_PER_PARTITION)
-    placed = prepare(family, chosen, features).repartition(n_parts, *keys)
-    rows = checkpointed(placed.sortWithinPartitions(*keys).select("label", *features))
-    assemble = VectorAssembler(inputCols=list(features), outputCol="raw_features")
-    # Trees do not change under scaling, so only the linear model needs it.
     if family == "model_lr":
-        scale = StandardScaler(
-            inputCol="raw_features", outputCol="features", withMean=True, withStd=True
-        )
-        rows = _with_class_weights(rows, counts["n"], counts["pos"])
-        stages, estimator, maps, draws = [assemble, scale], *_lr_search(counts["n"], n_draws)
-    elif family == "model_gbt":
-        stages, estimator, maps, draws = [assemble], *_gbt_search(n_draws)
-    else:
-        raise ValueError(f"unknown model family: {family}")
-    before = Pipeline(stages=stages).fit(rows)
-    ready = before.transform(rows)
+        rows = training_rows(family, chosen, features, keys, folds)
+        draws = draw_params(LR_SPACE, n_draws or LR_DRAWS)
+        found = linear_search.search(rows, features, draws, folds)
+        weights, intercept = found.scaling.raw(found.beta)
+        fitted = LinearModel(tuple(features), tuple(map(float, weights)), intercept)
+        return TrainedModel(family, train_date, tuple(features), fitted, draws[found.best], found.aucs[found.best])
+    if family == "model_gbt":
+        return _train_gbt(chosen, features, train_date, n_draws, folds, parallelism, keys)
+    raise ValueError(f"unknown model family: {family}")
+
+
+def training_rows(
+    family: str, chosen: DataFrame, features: Sequence[str], keys: Sequence[str], folds: int, seed: int = SEARCH_SEED
+) -> DataFrame:
+    """Stored rows (label, fold, features without NULL); a key's fold comes from its hash."""
+    fold = F.floor(hash_fraction(keys, seed) * folds).cast("int").alias("fold")
+    return stored(prepare(family, chosen, features).select("label", fold, *features), "training")
+
+
+def _train_gbt(chosen, features, train_date, n_draws, folds, parallelism, keys) -> TrainedModel:
+    """Spark's boosted trees; rows are placed and sorted by key, so that folds and subsamples repeat."""
+    n_parts = max(1, chosen.count() // ROWS_PER_PARTITION)
+    placed = prepare("model_gbt", chosen, features).repartition(n_parts, *keys)
+    rows = checkpointed(placed.sortWithinPartitions(*keys).select("label", *features))
+    before = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="raw_features")]).fit(rows)
+    estimator, maps, draws = _gbt_search(n_draws)
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=maps,
@@ -118,34 +146,10 @@ def train(
         numFolds=folds,
         seed=SEARCH_SEED,
         parallelism=parallelism,
-    ).fit(ready)
+    ).fit(before.transform(rows))
     best = max(range(len(maps)), key=lambda i: search.avgMetrics[i])
     pipeline = PipelineModel([*before.stages, search.bestModel])
-    return TrainedModel(family, train_date, tuple(features), pipeline, draws[best], search.avgMetrics[best])
-
-
-def _with_class_weights(rows: DataFrame, n: int, n_pos: int) -> DataFrame:
-    n_neg = n - n_pos
-    balanced = F.when(F.col("label") == 1, F.lit(n / (2.0 * max(n_pos, 1)))).otherwise(
-        F.lit(n / (2.0 * max(n_neg, 1)))
-    )
-    return rows.withColumns({"weight_none": F.lit(1.0), "weight_balanced": balanced})
-
-
-def _lr_search(n_rows: int, n_draws: int | None) -> tuple[Estimator, list[dict], list[dict]]:
-    """C multiplies the summed loss, regParam divides the mean loss: regParam = 1 / (C * n)."""
-    lr = LogisticRegression(labelCol="label", featuresCol="features", maxIter=LR_MAX_ITER)
-    lr = lr.setStandardization(False)
-    draws = draw_params(LR_SPACE, n_draws or LR_DRAWS)
-    maps = [
-        {
-            lr.regParam: 1.0 / (d["C"] * n_rows),
-            lr.elasticNetParam: 1.0 if d["penalty"] == "l1" else 0.0,
-            lr.weightCol: f"weight_{d['class_weight']}",
-        }
-        for d in draws
-    ]
-    return lr, maps, draws
+    return TrainedModel("model_gbt", train_date, tuple(features), pipeline, draws[best], search.avgMetrics[best])
 
 
 def _gbt_search(n_draws: int | None) -> tuple[Estimator, list[dict], list[dict]]:
@@ -166,28 +170,13 @@ def _gbt_search(n_draws: int | None) -> tuple[Estimator, list[dict], list[dict]]
     return gbt, maps, draws
 
 
-@dataclass(frozen=True)
-class LinearModel:
-    """A logistic model given by its weights; a missing feature counts as 0."""
-
-    features: tuple[str, ...]
-    weights: tuple[float, ...]
-    intercept: float = 0.0
-
-    def probability(self) -> Column:
-        terms = (
-            F.lit(w) * F.coalesce(F.col(f).cast("double"), F.lit(0.0))
-            for f, w in zip(self.features, self.weights, strict=True)
-        )
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-sum(terms, F.lit(self.intercept))))
-
-
 def score(model: TrainedModel | LinearModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     """P(label = 1) as model_predictions next to the kept columns."""
-    if isinstance(model, LinearModel):
-        return rows.select(*keep, model.probability().alias("model_predictions"))
+    expression = model if isinstance(model, LinearModel) else model.fitted
+    if isinstance(expression, LinearModel):
+        return rows.select(*keep, expression.probability().alias("model_predictions"))
     held = rows.withColumns({f"_keep_{c}": F.col(c) for c in keep})
-    scored = model.pipeline.transform(prepare(model.family, held, model.features))
+    scored = model.fitted.transform(prepare(model.family, held, model.features))
     return scored.select(
         *[F.col(f"_keep_{c}").alias(c) for c in keep],
         vector_to_array("probability")[1].alias("model_predictions"),
@@ -251,13 +240,36 @@ def registry_row(
     )
 
 
-def save(model: TrainedModel, folder: str) -> str:
+RECORD = (
+    "model_name string, model_family string, train_date date, features array<string>, params string, cv_auc double, "
+    "fitted string"
+)
+
+
+def save(spark: SparkSession, model: TrainedModel, folder: str) -> str:
+    """Write the whole record of a model: one row, and the pipeline of a Spark model next to it."""
     path = f"{folder}/{model.name}"
-    model.pipeline.write().overwrite().save(path)
+    fitted = None
+    if isinstance(model.fitted, LinearModel):
+        fitted = model.fitted.as_json()
+    else:
+        model.fitted.write().overwrite().save(f"{path}/pipeline")
+    row = (
+        model.name, model.family, model.train_date, list(model.features), json.dumps(dict(model.params)), model.cv_auc, fitted
+    )
+    spark.createDataFrame([row], RECORD).coalesce(1).write.mode("overwrite").parquet(f"{path}/record")
     return path
 
 
-def load(
-    path: str, family: str, train_date: dt.date, features: Sequence[str]
-) -> TrainedModel:
-    return TrainedModel(family, train_date, tuple(features), PipelineModel.load(path), {})
+def load(spark: SparkSession, path: str) -> TrainedModel:
+    """The model of a path as it was saved, with its parameters and score."""
+    row = spark.read.schema(RECORD).parquet(f"{path}/record").first()
+    features = tuple(row["features"])
+    if row["fitted"] is None:
+        fitted = PipelineModel.load(f"{path}/pipeline")
+    else:
+        found = json.loads(row["fitted"])
+        fitted = LinearModel(features, tuple(found["weights"]), found["intercept"])
+    return TrainedModel(
+        row["model_family"], row["train_date"], features, fitted, json.loads(row["params"]), row["cv_auc"]
+    )

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.lookup import join_one_row
 from tidemark.operators.order_stats import exact_quantiles, unpivot
 
 
@@ -172,7 +173,8 @@ def histogram(
 
 
 def winsorize(df: DataFrame, columns: Sequence[str], probability: float = 0.995) -> DataFrame:
-    """Cap columns at an exact upper quantile; the caps are one row, used as a scalar subquery."""
+    """Cap columns at an exact upper quantile; the caps are one row, which is joined once. `df` is read
+    several times: pass a stored table."""
     found = exact_quantiles(
         _numbers(df, columns), "value", [probability], ["feature"], interpolate=False
     )
@@ -182,12 +184,12 @@ def winsorize(df: DataFrame, columns: Sequence[str], probability: float = 0.995)
                 F.max(F.when(F.col("feature") == c, F.get("quantiles", F.lit(0)))).alias(c)
                 for c in columns
             ]
-        ).alias("caps")
-    ).scalar()
+        ).alias("_caps")
+    )
     capped = {
-        c: F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), caps[c])) for c in columns
+        c: F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), F.col(f"_caps.{c}"))) for c in columns
     }
-    return df.withColumns(capped)
+    return join_one_row(df, caps).withColumns(capped).drop("_caps")
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:

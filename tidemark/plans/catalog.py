@@ -21,6 +21,7 @@ from tidemark.operators import (
     features,
     history,
     labels,
+    linear_search,
     lookup,
     metrics,
     models,
@@ -33,6 +34,7 @@ from tidemark.operators import (
 from tidemark.plans import fixtures as fx
 from tidemark.plans import gold, silver
 from tidemark.rules import LabelRule
+from tidemark.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,38 +93,42 @@ def _gold_financials(spark, d):
     return gold.gold_financials(_financials(spark, d), months)
 
 
-def _store(spark, d, financials=None):
+def _store(spark, d):
     return gold.feature_store(
         gold.gold_attributes(_attributes(spark, d)),
-        _gold_financials(spark, d) if financials is None else financials,
+        _gold_financials(spark, d),
         gold.gold_clickstream(_clickstream(spark, d)),
         gold.gold_loans(_loans(spark, d)),
         unique=True,
     )
 
 
-def _surrogate(spark, d, financials=None):
-    financials = _gold_financials(spark, d) if financials is None else financials
+def _surrogate(spark, d):
     loans = gold.gold_loans(_loans(spark, d))
-    return labels.surrogate_label(gold.surrogate_source(financials, loans, unique=True))
+    return labels.surrogate_label(gold.surrogate_source(_gold_financials(spark, d), loans, unique=True))
 
 
-def _training(spark, d):
-    # Both the store and the surrogate label start from this table; a date range on the result
-    # reaches the scans of both.
-    financials = _gold_financials(spark, d)
+def _training(spark, d, first=None, last=None):
+    """Month-0 rows of the store, stored once: the features and the surrogate label come from them."""
+    start = gold.start_rows(
+        gold.gold_attributes(_attributes(spark, d)),
+        _gold_financials(spark, d),
+        gold.gold_clickstream(_clickstream(spark, d)),
+        gold.gold_loans(_loans(spark, d)),
+    )
+    if first is not None:
+        start = snapshots.in_range(start, first, last)
+    start = stored(start.select(*gold.KEYS, "mob", *codes.DEFAULT_FEATURES), "start")
     return dataset.training_set(
-        _store(spark, d, financials),
-        labels.primary_label(_loans(spark, d)),
-        _surrogate(spark, d, financials),
-        codes.DEFAULT_FEATURES,
+        start, labels.primary_label(_loans(spark, d)), labels.surrogate_label(start), codes.DEFAULT_FEATURES
     )
 
 
 def _split(spark, d):
+    """The training set of one train date, stored once before its four readers."""
     days = dates.split_dates(TRAIN_DATE)
-    rows = snapshots.in_range(_training(spark, d), days.train_start, days.oot_end)
-    return dataset.split_train_test_oot(rows, TRAIN_DATE)
+    rows = _training(spark, d, days.train_start, days.oot_end)
+    return dataset.split_train_test_oot(stored(rows, "training"), TRAIN_DATE)
 
 
 def _scored(spark, d):
@@ -612,12 +618,48 @@ def split_stats(spark, d):
     return dataset.split_stats(_split(spark, d))
 
 
+TRAIN_DATES = [dates.shift_months(TRAIN_DATE, k) for k in range(-5, 7)]
+
+
+@query
+def split_many_dates(spark, d):
+    """Rows per split and the cut-offs of twelve train dates, from one training set."""
+    rows = stored(_training(spark, d).select(*gold.KEYS, "label"), "training")
+    split, cuts = dataset.split_many(rows, TRAIN_DATES)
+    sizes = split.groupBy("train_date", "label").agg(
+        *[F.count_if(F.col("split") == part).alias(f"n_{part}") for part in ("train", "test", "oot")]
+    )
+    return sizes.join(cuts, ["train_date", "label"], "left")
+
+
+@query
+def train_lr(spark, d):
+    """All draws and folds of the regression search: per problem and feature the moment that must equal
+    the weighted sum of label times feature when the penalised gradient vanishes."""
+    features, folds = codes.DEFAULT_FEATURES, models.FOLDS
+    chosen = _split(spark, d).where(F.col("split") == "train")
+    rows = models.training_rows("model_lr", chosen, features, gold.KEYS, folds)
+    draws = models.draw_params(models.LR_SPACE, models.LR_DRAWS)
+    problems = linear_search.fold_problems(draws, folds)
+    scaled = linear_search.scaled(rows, features, linear_search.scaling(rows, features))
+    search = linear_search.Search(scaled, len(features), problems)
+    moments = search.moments(search.solve())
+    table = [
+        (i // folds, p.fold, p.C, "l1" if p.l1 else "l2", "balanced" if p.balanced else "none", name, float(m))
+        for i, p in enumerate(problems)
+        for name, m in zip([*features, "constant"], moments[i], strict=True)
+    ]
+    found = spark.createDataFrame(
+        table, "draw int, fold int, C double, penalty string, class_weight string, feature string, moment double"
+    )
+    return found.withColumn("moment", F.round("moment", 3) + F.lit(0.0))
+
+
 @query
 def standard_scale(spark, d):
     columns = ["fe_1", "fe_2", "fe_3", "fe_4", "fe_5", "Annual_Income_Group"]
-    scaled = dataset.standard_scale(
-        _split(spark, d), columns, F.col("split") == "train", [*gold.KEYS, "split"]
-    )
+    split = stored(_split(spark, d).select(*gold.KEYS, "split", *columns), "split")
+    scaled = dataset.standard_scale(split, columns, F.col("split") == "train", [*gold.KEYS, "split"])
     return rounded(scaled, *columns)
 
 
@@ -692,7 +734,7 @@ def winsorize_cap(spark, d):
 
 @query
 def correlation_matrix(spark, d):
-    numbers = _financials(spark, d).select(*CORRELATED)
+    numbers = stored(_financials(spark, d).select(*CORRELATED), "numbers")
     capped = profiling.winsorize(numbers, CAPPED, 0.95)
     return rounded(profiling.correlation_pairs(capped, CORRELATED), "corr")
 

@@ -120,3 +120,17 @@ def feature_store(
         KEYS,
         unique,
     )
+
+
+def start_rows(
+    attributes: DataFrame, financials: DataFrame, clickstream: DataFrame, loans: DataFrame
+) -> DataFrame:
+    """The store's rows at month 0, without merging the rows of any other month.
+
+    Only a loan at month 0 makes such a row, so the other sources, with one row per key, are looked up
+    from it. Equals `feature_store(...)` under `mob = 0` for sources without repeated keys.
+    """
+    rows = loans.where(F.col("mob") == 0)
+    for other in (attributes, financials, clickstream):
+        rows = rows.join(other, list(KEYS), "left")
+    return rows

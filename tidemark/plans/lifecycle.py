@@ -21,7 +21,7 @@ METRIC, FALLBACK = "auc_oot", "auc_test"
 def register(model: models.TrainedModel, split: DataFrame, folder: str) -> DataFrame:
     """Save the model and write its registry row; training the same date again replaces the row."""
     row = models.registry_row(model, models.evaluate(model, split), dataset.split_stats(split))
-    path = models.save(model, f"{folder}/bank")
+    path = models.save(split.sparkSession, model, f"{folder}/bank")
     return upsert_history(
         row.withColumn("path", F.lit(path)), f"{folder}/{REGISTRY}", ["model_name"], "snapshot_date"
     )

@@ -7,6 +7,7 @@ shared building blocks; each query lists the ones it needs through `_sql`.
 from __future__ import annotations
 
 from tidemark import codes, schemas
+from tidemark.operators.models import LR_DRAWS, LR_SPACE, draw_params
 
 _START = "CAST(DATE '2023-01-01' + to_months(CAST({k} % 24 AS INTEGER)) AS DATE)"
 
@@ -569,7 +570,49 @@ _REASONS = _list(
     ]
 )
 
+_HASH = "CAST('0x' || substr(md5('{seed}|' || Customer_ID || '|' || CAST(snapshot_date AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE"
+_MANY_DATES = f"""
+    SELECT s.*, c.n_fit, c.cut FROM (
+      SELECT train_date, label, count(*) FILTER (part = 'fit' AND place > ceil(round(0.2 * n, 9))) AS n_train,
+        count(*) FILTER (part = 'fit' AND place <= ceil(round(0.2 * n, 9))) AS n_test,
+        count(*) FILTER (part = 'oot') AS n_oot
+      FROM placed GROUP BY 1, 2) s
+    LEFT JOIN (SELECT train_date, label, any_value(n) AS n_fit, max(h) FILTER (place <= ceil(round(0.2 * n, 9))) AS cut
+      FROM placed WHERE part = 'fit' GROUP BY 1, 2) c ON s.train_date = c.train_date AND s.label = c.label"""
+_PLACED = f"""
+SELECT train_date, part, label, h, row_number() OVER (PARTITION BY train_date, part, label ORDER BY h) AS place,
+  count(*) OVER (PARTITION BY train_date, part, label) AS n
+FROM (SELECT *, {_HASH.format(seed=88)} AS h FROM training WHERE label IS NOT NULL)
+JOIN (SELECT CAST(DATE '2024-03-01' + to_months(CAST(k AS INTEGER)) AS DATE) AS train_date FROM range(-5, 7) r(k)) ON true
+JOIN (VALUES ('fit', -14, -2), ('oot', -2, 0)) w(part, low, high)
+  ON snapshot_date >= train_date + to_months(low) AND snapshot_date < train_date + to_months(high)
+"""
+_DRAWS = ", ".join(
+    f"({i}, CAST('{d['C']!r}' AS DOUBLE), '{d['penalty']}', '{d['class_weight']}')"
+    for i, d in enumerate(draw_params(LR_SPACE, LR_DRAWS))
+)
+_LR_ROWS = f"""
+SELECT label, CAST(floor({_HASH.format(seed=42)} * 3) AS INTEGER) AS fold, 1.0::DOUBLE AS constant,
+  {', '.join(f'(x_{c} - avg(x_{c}) OVER ()) / CASE WHEN stddev_pop(x_{c}) OVER () = 0 THEN 1 ELSE stddev_pop(x_{c}) OVER () END AS {c}' for c in codes.DEFAULT_FEATURES)}
+FROM (SELECT *, {', '.join(f'coalesce(CAST({c} AS DOUBLE), 0) AS x_{c}' for c in codes.DEFAULT_FEATURES)}
+  FROM split_rows WHERE split = 'train')
+"""
+_LR_SUMS = f"""
+SELECT k AS fold, count(*) / (2.0::DOUBLE * sum(label)) AS balanced,
+  {', '.join(f'sum({c}) FILTER (label = 1) AS {c}' for c in [*codes.DEFAULT_FEATURES, 'constant'])}
+FROM lr_rows JOIN (SELECT CAST(k AS INTEGER) AS k FROM range(3) r(k)) ON fold <> k GROUP BY 1
+"""
+_CTES |= {"placed": _PLACED, "lr_rows": _LR_ROWS, "lr_sums": _LR_SUMS}
+_TRAIN_LR = " UNION ALL ".join(
+    f"""SELECT CAST(draw AS INTEGER) AS draw, fold, C, penalty, class_weight, '{c}' AS feature,
+      round({c} * CASE WHEN class_weight = 'balanced' THEN balanced ELSE 1 END, 3) + 0.0::DOUBLE AS moment
+    FROM lr_sums, (VALUES {_DRAWS}) d(draw, C, penalty, class_weight)"""
+    for c in [*codes.DEFAULT_FEATURES, "constant"]
+)
+
 _BODIES: dict[str, str] = {
+    "split_many_dates": _MANY_DATES,
+    "train_lr": _TRAIN_LR,
     "scan_project": "SELECT l_orderkey, l_linenumber, l_quantity, CAST(l_shipdate AS DATE) AS snapshot_date FROM lineitem",
     "snapshot_filter": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
         WHERE o_orderdate >= DATE '1997-03-01' AND o_orderdate < DATE '1997-04-01'""",
