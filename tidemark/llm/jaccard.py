@@ -442,7 +442,8 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     )
     # copies are summed up before the shuffle; documents without words stand alone
     full = named.where("n_shingles > 0")
-    least = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # written first, so that the join below only moves its rows and a large component can be split
+    least = staged(full.groupBy("component").agg(F.min("doc_id").alias("component_id")))
     return (
         full.join(least, "component").select("doc_id", "n_shingles", "component_id")
         .unionByName(named.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
