@@ -228,7 +228,7 @@ def test_scaling_is_fitted_on_train_rows(spark, split_frame):
 def test_parameter_draws_do_not_repeat():
     draws = models.draw_params(models.LR_SPACE, models.LR_DRAWS)
     assert len({str(d) for d in draws}) == 40 and draws == models.draw_params(models.LR_SPACE, 40)
-    assert len(models.draw_params(models.GBT_SPACE, 10_000)) == 192
+    assert len(models.draw_params(models.GBT_SPACE, 10_000)) == 1728
 
 
 def test_model_loop(spark, split_frame, tmp_path):
@@ -262,9 +262,9 @@ def test_model_loop(spark, split_frame, tmp_path):
     assert early.scores.first()["score_mean"] > 0
 
 
-def test_boosted_trees_take_missing_values(split_frame):
+def test_boosted_trees_take_missing_values(spark, split_frame, tmp_path):
     _, _, split = split_frame
-    space = dict(models.GBT_SPACE)
-    model = models.train("model_gbt", split, ["x", "y"], dt.date(2024, 3, 1), n_draws=1)
-    assert set(model.params) == set(space)
+    model = models.train("model_gbt", split, ["x", "y"], dt.date(2024, 3, 1), n_draws=2)
+    assert set(model.params) == set(models.GBT_SPACE) and model.cv_auc > 0.8
     assert models.evaluate(model, split).where("split = 'test'").first()["auc"] > 0.8
+    assert models.load(spark, models.save(spark, model, str(tmp_path))) == model

@@ -9,23 +9,17 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.base import Estimator
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import split_dates
-from tidemark.operators import linear_search
+from tidemark.operators import linear_search, tree_search
 from tidemark.operators.dataset import hash_fraction
 from tidemark.operators.metrics import auc_gini
+from tidemark.operators.tree_search import TreeModel
 from tidemark.operators.typing import drop_if_all_null, fill_nulls
 from tidemark.rules import TrainingWindow
-from tidemark.session import checkpointed, stored
+from tidemark.session import stored
 
 # Search spaces and budgets.
 LR_SPACE = {
@@ -39,21 +33,20 @@ GBT_SPACE = {
     "max_depth": [2, 3],
     "learning_rate": [0.01, 0.1],
     "subsample": [0.6, 0.8],
-    "colsample": [0.6, 0.8],
-    "min_gain": [0.0, 0.1],
-    "min_child": [1, 3, 5],
+    "colsample_bytree": [0.6, 0.8],
+    "gamma": [0, 0.1],
+    "min_child_weight": [1, 3, 5],
+    "reg_alpha": [0, 0.1, 1],
+    "reg_lambda": [1, 1.5, 2],
 }
 GBT_DRAWS = 100
 FOLDS = 3
 SEARCH_SEED = 42
-ROWS_PER_PARTITION = 100_000
-# Stand-in for a missing value in tree models: below every real value, so a split can isolate it.
-TREE_MISSING = -1e9
 
 
 @dataclass(frozen=True)
 class LinearModel:
-    """A logistic model given by its weights; a missing feature counts as 0."""
+    """A logistic model given by its weights; a missing feature, NULL or NaN, counts as 0."""
 
     features: tuple[str, ...]
     weights: tuple[float, ...]
@@ -64,7 +57,7 @@ class LinearModel:
 
     def probability(self) -> Column:
         terms = (
-            F.lit(w) * F.coalesce(F.col(f).cast("double"), F.lit(0.0))
+            F.lit(w) * F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")), F.lit(0.0))
             for f, w in zip(self.features, self.weights, strict=True)
         )
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-sum(terms, F.lit(self.intercept))))
@@ -75,7 +68,7 @@ class TrainedModel:
     family: str
     train_date: dt.date
     features: tuple[str, ...]
-    fitted: LinearModel | PipelineModel
+    fitted: LinearModel | TreeModel
     params: Mapping[str, object]
     cv_auc: float | None = None
 
@@ -91,9 +84,9 @@ def draw_params(space: Mapping[str, Sequence], n_draws: int, seed: int = SEARCH_
 
 
 def prepare(family: str, data: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Feature columns as doubles without NULL: 0 for the linear model, a stand-in for trees."""
+    """Feature columns as doubles; the linear model counts a missing one as 0, trees place it by themselves."""
     numbers = data.withColumns({c: F.col(c).cast("double") for c in features})
-    return fill_nulls(numbers, features, TREE_MISSING if family == "model_gbt" else 0.0)
+    return fill_nulls(numbers, features, 0.0) if family == "model_lr" else numbers
 
 
 def train(
@@ -103,7 +96,6 @@ def train(
     train_date: dt.date,
     n_draws: int | None = None,
     folds: int = FOLDS,
-    parallelism: int = 4,
     keys: Sequence[str] = ("Customer_ID", "snapshot_date"),
 ) -> TrainedModel:
     """Random search with cross-validated AUC on the train split, refit on all of it.
@@ -112,75 +104,34 @@ def train(
     recompute the feature joins.
     """
     chosen = split.where(F.col("split") == "train")
+    rows = training_rows(family, chosen, features, keys, folds)
     if family == "model_lr":
-        rows = training_rows(family, chosen, features, keys, folds)
         draws = draw_params(LR_SPACE, n_draws or LR_DRAWS)
         found = linear_search.search(rows, features, draws, folds)
         weights, intercept = found.scaling.raw(found.beta)
         fitted = LinearModel(tuple(features), tuple(map(float, weights)), intercept)
-        return TrainedModel(family, train_date, tuple(features), fitted, draws[found.best], found.aucs[found.best])
-    if family == "model_gbt":
-        return _train_gbt(chosen, features, train_date, n_draws, folds, parallelism, keys)
-    raise ValueError(f"unknown model family: {family}")
+    elif family == "model_gbt":
+        draws = draw_params(GBT_SPACE, n_draws or GBT_DRAWS)
+        found = tree_search.search(rows, features, draws, folds)
+        fitted = found.model
+    else:
+        raise ValueError(f"unknown model family: {family}")
+    return TrainedModel(family, train_date, tuple(features), fitted, draws[found.best], found.aucs[found.best])
 
 
 def training_rows(
     family: str, chosen: DataFrame, features: Sequence[str], keys: Sequence[str], folds: int, seed: int = SEARCH_SEED
 ) -> DataFrame:
-    """Stored rows (label, fold, features without NULL); a key's fold comes from its hash."""
+    """Stored rows (label, fold, hash, features); a key's fold and the hash for row samples come from its text."""
     fold = F.floor(hash_fraction(keys, seed) * folds).cast("int").alias("fold")
-    return stored(prepare(family, chosen, features).select("label", fold, *features), "training")
-
-
-def _train_gbt(chosen, features, train_date, n_draws, folds, parallelism, keys) -> TrainedModel:
-    """Spark's boosted trees; rows are placed and sorted by key, so that folds and subsamples repeat."""
-    n_parts = max(1, chosen.count() // ROWS_PER_PARTITION)
-    placed = prepare("model_gbt", chosen, features).repartition(n_parts, *keys)
-    rows = checkpointed(placed.sortWithinPartitions(*keys).select("label", *features))
-    before = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="raw_features")]).fit(rows)
-    estimator, maps, draws = _gbt_search(n_draws)
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(numBins=0, metricName="areaUnderROC"),
-        numFolds=folds,
-        seed=SEARCH_SEED,
-        parallelism=parallelism,
-    ).fit(before.transform(rows))
-    best = max(range(len(maps)), key=lambda i: search.avgMetrics[i])
-    pipeline = PipelineModel([*before.stages, search.bestModel])
-    return TrainedModel("model_gbt", train_date, tuple(features), pipeline, draws[best], search.avgMetrics[best])
-
-
-def _gbt_search(n_draws: int | None) -> tuple[Estimator, list[dict], list[dict]]:
-    gbt = GBTClassifier(labelCol="label", featuresCol="raw_features", seed=88)
-    draws = draw_params(GBT_SPACE, n_draws or GBT_DRAWS)
-    maps = [
-        {
-            gbt.maxIter: d["n_estimators"],
-            gbt.maxDepth: d["max_depth"],
-            gbt.stepSize: d["learning_rate"],
-            gbt.subsamplingRate: d["subsample"],
-            gbt.featureSubsetStrategy: str(d["colsample"]),
-            gbt.minInfoGain: d["min_gain"],
-            gbt.minInstancesPerNode: d["min_child"],
-        }
-        for d in draws
-    ]
-    return gbt, maps, draws
+    sample = hash_fraction(keys, seed + 1).alias("hash")
+    return stored(prepare(family, chosen, features).select("label", fold, sample, *features), "training")
 
 
 def score(model: TrainedModel | LinearModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """P(label = 1) as model_predictions next to the kept columns."""
-    expression = model if isinstance(model, LinearModel) else model.fitted
-    if isinstance(expression, LinearModel):
-        return rows.select(*keep, expression.probability().alias("model_predictions"))
-    held = rows.withColumns({f"_keep_{c}": F.col(c) for c in keep})
-    scored = model.fitted.transform(prepare(model.family, held, model.features))
-    return scored.select(
-        *[F.col(f"_keep_{c}").alias(c) for c in keep],
-        vector_to_array("probability")[1].alias("model_predictions"),
-    )
+    """P(label = 1) as model_predictions next to the kept columns, as one expression."""
+    fitted = model.fitted if isinstance(model, TrainedModel) else model
+    return rows.select(*keep, fitted.probability().alias("model_predictions"))
 
 
 def evaluate(model: TrainedModel, split: DataFrame) -> DataFrame:
@@ -247,29 +198,29 @@ RECORD = (
 
 
 def save(spark: SparkSession, model: TrainedModel, folder: str) -> str:
-    """Write the whole record of a model: one row, and the pipeline of a Spark model next to it."""
+    """Write the whole record of a model as one row."""
     path = f"{folder}/{model.name}"
-    fitted = None
-    if isinstance(model.fitted, LinearModel):
-        fitted = model.fitted.as_json()
-    else:
-        model.fitted.write().overwrite().save(f"{path}/pipeline")
     row = (
-        model.name, model.family, model.train_date, list(model.features), json.dumps(dict(model.params)), model.cv_auc, fitted
+        model.name, model.family, model.train_date, list(model.features), json.dumps(dict(model.params)), model.cv_auc,
+        model.fitted.as_json(),
     )
-    spark.createDataFrame([row], RECORD).coalesce(1).write.mode("overwrite").parquet(f"{path}/record")
+    spark.createDataFrame([row], RECORD).coalesce(1).write.mode("overwrite").parquet(path)
     return path
 
 
+def fitted_from(features: Sequence[str], text: str) -> LinearModel | TreeModel:
+    """The model that `as_json` wrote."""
+    found = json.loads(text)
+    if found["kind"] == "linear":
+        return LinearModel(tuple(features), tuple(found["weights"]), found["intercept"])
+    return TreeModel(tuple(features), tuple(tuple(tuple(node) for node in tree) for tree in found["trees"]))
+
+
 def load(spark: SparkSession, path: str) -> TrainedModel:
     """The model of a path as it was saved, with its parameters and score."""
-    row = spark.read.schema(RECORD).parquet(f"{path}/record").first()
+    row = spark.read.schema(RECORD).parquet(path).first()
     features = tuple(row["features"])
-    if row["fitted"] is None:
-        fitted = PipelineModel.load(f"{path}/pipeline")
-    else:
-        found = json.loads(row["fitted"])
-        fitted = LinearModel(features, tuple(found["weights"]), found["intercept"])
     return TrainedModel(
-        row["model_family"], row["train_date"], features, fitted, json.loads(row["params"]), row["cv_auc"]
+        row["model_family"], row["train_date"], features, fitted_from(features, row["fitted"]), json.loads(row["params"]),
+        row["cv_auc"],
     )

@@ -29,6 +29,7 @@ from tidemark.operators import (
     profiling,
     quality,
     snapshots,
+    tree_search,
     typing,
 )
 from tidemark.plans import fixtures as fx
@@ -655,6 +656,23 @@ def train_lr(spark, d):
     return found.withColumn("moment", F.round("moment", 3) + F.lit(0.0))
 
 
+@query
+def train_gbt_first_trees(spark, d):
+    """The first tree of every draw and fold of the boosted search, and of every draw on all rows."""
+    features, folds = codes.DEFAULT_FEATURES, models.FOLDS
+    chosen = _split(spark, d).where(F.col("split") == "train")
+    rows = models.training_rows("model_gbt", chosen, features, gold.KEYS, folds)
+    ready, cuts = tree_search.prepared(rows, features)
+    draws = [{**p, "n_estimators": 1} for p in models.draw_params(models.GBT_SPACE, models.GBT_DRAWS)]
+    problems = tree_search.fold_problems(draws, folds)
+    forest = tree_search.Search(ready, len(features), problems).fit()
+    table = tree_search.tree_rows(problems, forest, 0, features, cuts)
+    found = spark.createDataFrame(
+        table, "draw int, fold int, node int, feature string, cut double, gain double, value double"
+    )
+    return rounded(found, "cut", "gain", "value")
+
+
 @query
 def standard_scale(spark, d):
     columns = ["fe_1", "fe_2", "fe_3", "fe_4", "fe_5", "Annual_Income_Group"]

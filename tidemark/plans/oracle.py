@@ -7,7 +7,8 @@ shared building blocks; each query lists the ones it needs through `_sql`.
 from __future__ import annotations
 
 from tidemark import codes, schemas
-from tidemark.operators.models import LR_DRAWS, LR_SPACE, draw_params
+from tidemark.operators.models import GBT_DRAWS, GBT_SPACE, LR_DRAWS, LR_SPACE, draw_params
+from tidemark.operators.tree_search import Problem
 
 _START = "CAST(DATE '2023-01-01' + to_months(CAST({k} % 24 AS INTEGER)) AS DATE)"
 
@@ -610,7 +611,79 @@ _TRAIN_LR = " UNION ALL ".join(
     for c in [*codes.DEFAULT_FEATURES, "constant"]
 )
 
+# First trees of the boosted search: p is 1/2 for every row, so G = n / 2 - positives and H = n / 4.
+_GBT = draw_params(GBT_SPACE, GBT_DRAWS)
+_FEATURES = list(enumerate(codes.DEFAULT_FEATURES))
+_GBT_CTES = {
+    "gbt_draws": f"""SELECT CAST(draw AS INTEGER) AS draw, depth, CAST(eta AS DOUBLE) AS eta, CAST(share AS DOUBLE) AS share,
+      CAST(gamma AS DOUBLE) AS gamma, child, CAST(alpha AS DOUBLE) AS alpha, CAST(ridge AS DOUBLE) AS ridge, CAST(turn AS DOUBLE) AS turn
+    FROM (VALUES {', '.join(
+        f"({i}, {d['max_depth']}, {d['learning_rate']}, {d['subsample']}, {d['gamma']}, {d['min_child_weight']}, {d['reg_alpha']}, {d['reg_lambda']}, {Problem(d, 0, i).turn(0)!r})"
+        for i, d in enumerate(_GBT))}) v(draw, depth, eta, share, gamma, child, alpha, ridge, turn)""",
+    "gbt_columns": f"""SELECT * FROM (VALUES {', '.join(
+        f"({i}, {j})" for i, d in enumerate(_GBT) for j in Problem(d, 0, i).columns(0, len(_FEATURES)))}) v(draw, f)""",
+    "gbt_rows": f"""SELECT row_number() OVER () AS id, label, CAST(floor({_HASH.format(seed=42)} * 3) AS INTEGER) AS fold,
+      {_HASH.format(seed=43)} AS h, {', '.join(f'CAST({c} AS DOUBLE) AS x{j}' for j, c in _FEATURES)}
+    FROM split_rows WHERE split = 'train'""",
+    "gbt_values": " UNION ALL ".join(f"SELECT id, {j} AS f, x{j} AS x FROM gbt_rows" for j, _ in _FEATURES),
+    "gbt_cuts": """SELECT f, list_sort(list_distinct([v[CAST(greatest(ceil(round((i + 1) / 32.0::DOUBLE * len(v), 9)), 1) AS INTEGER)]
+        FOR i IN range(31)])) AS cuts
+      FROM (SELECT f, list(x ORDER BY x) AS v FROM gbt_values WHERE x IS NOT NULL GROUP BY f)""",
+    "gbt_bins": """SELECT id, v.f, CASE WHEN x IS NULL THEN 32 ELSE len([c FOR c IN coalesce(cuts, []) IF c <= x]) END AS b
+      FROM gbt_values v LEFT JOIN gbt_cuts c ON v.f = c.f""",
+    "gbt_at0": """SELECT draw, CAST(k AS INTEGER) AS k, id, label, 0 AS node FROM gbt_draws, gbt_rows, (VALUES (0), (1), (2), (-1)) ks(k)
+      WHERE fold <> k AND h + turn - floor(h + turn) < share""",
+}
+
+
+def _soft(g: str) -> str:
+    return f"(sign({g}) * greatest(abs({g}) - alpha, 0))"
+
+
+def _worth(g: str, h: str) -> str:
+    return f"({_soft(g)} * {_soft(g)} / ({h} + ridge))"
+
+
+for _level in range(3):
+    _GBT_CTES |= {
+        f"gbt_whole{_level}": f"""SELECT draw, k, node, count(*) / 2.0::DOUBLE - sum(label) AS g, count(*) / 4.0::DOUBLE AS h
+          FROM gbt_at{_level} GROUP BY ALL""",
+        f"gbt_hist{_level}": f"""SELECT a.draw, k, node, b.f, b, count(*) / 2.0::DOUBLE - sum(label) AS g, count(*) / 4.0::DOUBLE AS h
+          FROM gbt_at{_level} a JOIN gbt_columns c ON a.draw = c.draw JOIN gbt_bins b ON b.id = a.id AND b.f = c.f GROUP BY ALL""",
+        # left sums at every cut, missing values right (0) and left (1)
+        f"gbt_left{_level}": f"""SELECT draw, k, node, f, cut, side,
+            coalesce(sum(g) FILTER (b < cut OR (b = 32 AND side = 1)), 0) AS gl,
+            coalesce(sum(h) FILTER (b < cut OR (b = 32 AND side = 1)), 0) AS hl
+          FROM gbt_hist{_level}, range(1, 33) c(cut), (VALUES (0), (1)) s(side) GROUP BY ALL""",
+        f"gbt_best{_level}": f"""SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY draw, k, node ORDER BY gain DESC, f, cut, side) AS nth FROM (
+            SELECT l.*, w.g, w.h, d.*, {_worth('gl', 'hl')} + {_worth('(g - gl)', '(h - hl)')} - {_worth('g', 'h')} AS gain
+            FROM gbt_left{_level} l JOIN gbt_whole{_level} w ON l.draw = w.draw AND l.k = w.k AND l.node = w.node
+            JOIN gbt_draws d ON d.draw = l.draw WHERE hl >= child AND h - hl >= child AND depth > {_level}))
+          WHERE nth = 1 AND gain > 1e-6 AND gain >= gamma""",
+        f"gbt_at{_level + 1}": f"""SELECT a.draw, a.k, a.id, label,
+            2 * a.node + CASE WHEN b = 32 THEN 2 - side WHEN b < cut THEN 1 ELSE 2 END AS node
+          FROM gbt_at{_level} a JOIN gbt_best{_level} s ON a.draw = s.draw AND a.k = s.k AND a.node = s.node
+          JOIN gbt_bins b ON b.id = a.id AND b.f = s.f""",
+    }
+_GBT_CTES["gbt_whole3"] = _GBT_CTES["gbt_whole2"].replace("gbt_at2", "gbt_at3")
+_CTES |= _GBT_CTES
+_FIRST_TREES = " UNION ALL ".join(
+    f"""SELECT w.draw, w.k AS fold, CAST(w.node AS INTEGER) AS node, {feature} AS feature,
+      {cut} AS cut, {gain} AS gain, round(-{_soft('w.g').replace('alpha', 'd.alpha')} / (w.h + d.ridge) * d.eta, 6) AS value
+    FROM gbt_whole{level} w JOIN gbt_draws d ON d.draw = w.draw {join}"""
+    for level in range(4)
+    for feature, cut, gain, join in [
+        (
+            f"[{', '.join(repr(c) for c in codes.DEFAULT_FEATURES)}][s.f + 1]", "round(CAST(cuts[s.cut] AS DOUBLE), 6)",
+            "round(s.gain, 6)",
+            f"LEFT JOIN gbt_best{level} s ON s.draw = w.draw AND s.k = w.k AND s.node = w.node LEFT JOIN gbt_cuts c ON c.f = s.f",
+        ) if level < 3 else ("NULL", "NULL", "NULL", "")
+    ]
+)
+
 _BODIES: dict[str, str] = {
+    "train_gbt_first_trees": _FIRST_TREES,
     "split_many_dates": _MANY_DATES,
     "train_lr": _TRAIN_LR,
     "scan_project": "SELECT l_orderkey, l_linenumber, l_quantity, CAST(l_shipdate AS DATE) AS snapshot_date FROM lineitem",
