@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import models
+from tidemark.operators.models import LinearModel, TrainedModel
+from tidemark.operators.tree_search import TreeModel
 from tidemark.plans import lifecycle
 from tidemark.sources.files import upsert_history
 
@@ -49,3 +53,33 @@ def test_retrain_log_keeps_the_last_decision(spark, tmp_path):
     lifecycle.log_decisions(spark.createDataFrame([("m", day, False, "a")], schema), str(tmp_path))
     log = lifecycle.log_decisions(spark.createDataFrame([("m", day, True, "b"), ("n", day, False, "c")], schema), str(tmp_path))
     assert {(r["model_name"], r["reason"]) for r in log.collect()} == {("m", "b"), ("n", "c")}
+
+
+def test_months_are_scored_by_the_model_of_their_time(spark, tmp_path):
+    """Two kinds of models, saved and deployed; months between, before and after the deployments."""
+    folder, day = str(tmp_path), [dt.date(2024, k, 1) for k in range(1, 7)]
+    linear = TrainedModel("model_lr", day[0], ("x", "y"), LinearModel(("x", "y"), (0.5, -1.0), 0.25), {"C": 1.0}, 0.75)
+    tree = ((0, 1.0, True, 0.0), (None, None, None, -2.0), (None, None, None, 2.0))
+    trees = TrainedModel("model_gbt", day[2], ("x",), TreeModel(("x",), (tree, tree)), {"max_depth": 1}, None)
+    saved = {m.name: models.save(spark, m, f"{folder}/bank") for m in (linear, trees)}
+    assert [models.load(spark, p) for p in saved.values()] == [linear, trees]
+    frame = spark.createDataFrame([(day[1], linear.name, saved[linear.name]), (day[3], trees.name, saved[trees.name])], "snapshot_date date, model_name string, path string")
+    upsert_history(frame, f"{folder}/{lifecycle.DEPLOYMENTS}", ["snapshot_date"], "snapshot_date")
+    rows = [(f"c{k}{v}", d, v, 2.0, mob) for k, d in enumerate(day) for v in (None, 0.5, 3.0) for mob in (0, 1)]
+    rows.append(("none", day[1], None, None, 0))
+    store = spark.createDataFrame(rows, "Customer_ID string, snapshot_date date, x double, y double, mob int")
+    got = {(r["Customer_ID"], r["snapshot_date"]): (r["model_name"], r["model_predictions"]) for r in lifecycle.score_months(spark, folder, store, day[:5]).collect()}
+
+    def p(z):
+        return 1 / (1 + 2.718281828459045 ** -z)
+
+    want = {}
+    for k in (1, 2):
+        for v in (None, 0.5, 3.0):
+            want[f"c{k}{v}", day[k]] = (linear.name, pytest.approx(p(0.25 + 0.5 * (v or 0) - 2.0)))
+    for k in (3, 4):
+        want[f"c{k}0.5", day[k]], want[f"c{k}3.0", day[k]] = (trees.name, pytest.approx(p(-4.0))), (trees.name, pytest.approx(p(4.0)))
+    assert got == want
+    with pytest.raises(KeyError):
+        models.score_deployed(store, frame, {}, day)
+    assert models.score_deployed(store, frame, {}, day[:1]).collect() == []

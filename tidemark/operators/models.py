@@ -163,6 +163,55 @@ def batch_score(
     )
 
 
+def linear_models(weights: DataFrame) -> dict[str, LinearModel]:
+    """The linear models of a table (model_name, feature, weight), the constant's feature being `constant`.
+
+    Models are read on the driver: one row per model and feature. A NULL weight counts as 0.
+    """
+    found: dict[str, dict[str, float]] = {}
+    for r in weights.select("model_name", "feature", "weight").collect():
+        found.setdefault(r["model_name"], {})[r["feature"]] = r["weight"] or 0.0
+    models = {}
+    for name, by in found.items():
+        features = tuple(sorted(by.keys() - {"constant"}))
+        models[name] = LinearModel(features, tuple(by[f] for f in features), by.get("constant", 0.0))
+    return models
+
+
+def score_deployed(
+    store: DataFrame,
+    deployments: DataFrame,
+    models: Mapping[str, LinearModel | TreeModel | TrainedModel],
+    months: Sequence[dt.date],
+) -> DataFrame:
+    """Score month-0 customers of several months, each month with the model deployed then, in one scan.
+
+    A month's model is that of the latest deployment (snapshot_date, model_name) on or before it; of two
+    on one day the later name counts. Months before the first deployment have no rows, and neither
+    do customers without any feature of their month's model. Deployments, one row each, are resolved on
+    the driver; rows never meet a model table.
+    """
+    known = sorted((r["snapshot_date"], r["model_name"]) for r in deployments.select("snapshot_date", "model_name").collect())
+    months_of: dict[str, list[dt.date]] = {}
+    for month in sorted(set(months)):
+        earlier = [name for day, name in known if day <= month]
+        if earlier:
+            months_of.setdefault(earlier[-1], []).append(month)
+    if missing := months_of.keys() - models.keys():
+        raise KeyError(f"deployed models without a record: {sorted(missing)}")
+    day, name, result = F.col("snapshot_date"), F.lit(None).cast("string"), F.lit(None).cast("double")
+    for model, days in months_of.items():
+        fitted = models[model].fitted if isinstance(models[model], TrainedModel) else models[model]
+        usable = day.isin(*map(F.lit, days)) & F.coalesce(*[F.col(f).cast("double") for f in fitted.features]).isNotNull()
+        name = F.when(usable, F.lit(model)).otherwise(name)
+        result = F.when(usable, fitted.probability()).otherwise(result)
+    wanted = [m for days in months_of.values() for m in days]
+    rows = store.where(day.isin(*map(F.lit, wanted)) if wanted else F.lit(False)).where(F.col("mob") == 0)
+    return rows.select(
+        "Customer_ID", "snapshot_date", name.alias("model_name"), result.alias("model_predictions")
+    ).where(F.col("model_name").isNotNull())
+
+
 def registry_row(
     model: TrainedModel,
     results: DataFrame,

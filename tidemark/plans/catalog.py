@@ -945,6 +945,32 @@ def batch_score(spark, d):
     return rounded(scored, "model_predictions")
 
 
+DEPLOYMENTS = [(dt.date(2024, 1, 1), dt.date(2023, 12, 1)), (dt.date(2024, 3, 1), dt.date(2024, 2, 1))]
+DEPLOYED_FEATURES = ["Age_Group", "crs", "dti", "fe_1"]
+
+
+@query
+def score_deployed(spark, d):
+    """Three months under two deployments. The registry holds one model per month: standard scores of its
+    month-0 customers, added up."""
+    store = stored(_store(spark, d).where("mob = 0").select(*gold.KEYS, "mob", *DEPLOYED_FEATURES), "store")
+    moments = order_stats.unpivot(store, DEPLOYED_FEATURES, ["snapshot_date"]).groupBy("snapshot_date", "feature").agg(
+        F.avg("value").alias("mean"), F.nullif(F.stddev_pop("value"), F.lit(0.0)).alias("std")
+    )
+    name = F.concat(F.lit("model_lr_"), F.date_format("snapshot_date", "yyyy_MM_dd")).alias("model_name")
+    weights = moments.select(name, "feature", (1 / F.col("std")).alias("weight"))
+    constants = moments.groupBy("snapshot_date").agg(F.sum(-F.col("mean") / F.col("std")).alias("weight")).select(
+        name, F.lit("constant").alias("feature"), "weight"
+    )
+    registry = weights.unionByName(constants)
+    deployed = spark.createDataFrame(
+        [(day, f"model_lr_{month:%Y_%m_%d}") for day, month in DEPLOYMENTS], "snapshot_date date, model_name string"
+    )
+    wanted = registry.join(F.broadcast(deployed.select("model_name").distinct()), "model_name", "left_semi")
+    months = [dt.date(2024, k, 1) for k in (1, 2, 3)]
+    return rounded(models.score_deployed(store, deployed, models.linear_models(wanted), months), "model_predictions")
+
+
 @query
 def file_name_parts(spark, d):
     names = fx.table(spark, d, "orders").selectExpr(

@@ -68,3 +68,10 @@ def deploy(spark: SparkSession, folder: str, day: dt.date) -> DataFrame:
 def log_decisions(decisions: DataFrame, folder: str, keys: Sequence[str] = ("model_name", "snapshot_date")) -> DataFrame:
     """Keep retrain decisions, the last per model and run."""
     return upsert_history(decisions, f"{folder}/{RETRAIN_LOG}", keys, "snapshot_date")
+
+
+def score_months(spark: SparkSession, folder: str, store: DataFrame, months: Sequence[dt.date]) -> DataFrame:
+    """Score months through the deployment table, with the records of the deployed models."""
+    deployed = spark.read.parquet(f"{folder}/{DEPLOYMENTS}")
+    paths = {r["model_name"]: r["path"] for r in deployed.select("model_name", "path").distinct().collect()}
+    return models.score_deployed(store, deployed, {name: models.load(spark, path) for name, path in paths.items()}, months)

@@ -611,6 +611,15 @@ _TRAIN_LR = " UNION ALL ".join(
     for c in [*codes.DEFAULT_FEATURES, "constant"]
 )
 
+_CTES |= {
+    "zero_rows": """SELECT Customer_ID, snapshot_date, CAST(Age_Group AS DOUBLE) AS a, CAST(crs AS DOUBLE) AS b,
+      CAST(dti AS DOUBLE) AS c, CAST(fe_1 AS DOUBLE) AS d FROM store WHERE mob = 0""",
+    "zero_moments": "SELECT snapshot_date AS month, " + ", ".join(
+        f"avg({c}) AS m{c}, nullif(stddev_pop({c}), 0) AS s{c}" for c in "abcd") + " FROM zero_rows GROUP BY 1",
+    "zero_models": """SELECT CAST(v.day AS DATE) AS snapshot_date, CAST(v.month AS DATE) AS month
+      FROM (VALUES ('2024-01-01', '2023-12-01'), ('2024-02-01', '2023-12-01'), ('2024-03-01', '2024-02-01')) v(day, month)""",
+}
+
 # First trees of the boosted search: p is 1/2 for every row, so G = n / 2 - positives and H = n / 4.
 _GBT = draw_params(GBT_SPACE, GBT_DRAWS)
 _FEATURES = list(enumerate(codes.DEFAULT_FEATURES))
@@ -683,6 +692,13 @@ _FIRST_TREES = " UNION ALL ".join(
 )
 
 _BODIES: dict[str, str] = {
+    "score_deployed": """
+    SELECT Customer_ID, z.snapshot_date, 'model_lr_' || strftime(p.month, '%Y_%m_%d') AS model_name,
+      round(1 / (1 + exp(-(coalesce(coalesce(a, 0) / sa, 0) + coalesce(coalesce(b, 0) / sb, 0) + coalesce(coalesce(c, 0) / sc, 0)
+        + coalesce(coalesce(d, 0) / sd, 0) - coalesce(ma / sa, 0) - coalesce(mb / sb, 0) - coalesce(mc / sc, 0) - coalesce(md / sd, 0)))), 6)
+        AS model_predictions
+    FROM zero_rows z JOIN zero_models p ON z.snapshot_date = p.snapshot_date JOIN zero_moments m ON m.month = p.month
+    WHERE a IS NOT NULL OR b IS NOT NULL OR c IS NOT NULL OR d IS NOT NULL""",
     "train_gbt_first_trees": _FIRST_TREES,
     "split_many_dates": _MANY_DATES,
     "train_lr": _TRAIN_LR,
