@@ -60,6 +60,18 @@ def numbered_once(df: DataFrame, row: str) -> DataFrame:
     return stored(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
 
 
+def content_keys(df: DataFrame) -> list[str]:
+    """Names of three columns for `with_content`, none of which the table has."""
+    return [fresh(df, f"_key{i}") for i in range(3)]
+
+
+def with_content(df: DataFrame, keys: list[str], name: str, text: str) -> DataFrame:
+    """Add hashes of a column and of the text (two): rows that are equal in both have equal keys."""
+    return df.withColumns({
+        keys[0]: F.xxhash64(name), keys[1]: F.xxhash64(text), keys[2]: F.xxhash64(F.lit("second"), text),
+    })
+
+
 def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about `limit` bytes of text; a longer text is a range of its own."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)

@@ -26,7 +26,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, column, components, fresh, numbered_once, require, set_hashes, shingle_hashes, staged
+from tidemark.llm.common import chunks, column, components, content_keys, require, set_hashes, shingle_hashes, staged, with_content
 
 WIDTH = 5
 # Two sets link when 100 * intersection >= PERCENT * union.
@@ -451,20 +451,27 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without all but one of each component: the least id stays, of equal ids the
-    earlier row. Documents without words all stay. All columns are kept. The rows are written once
-    with a number, which tells equal ones apart.
+    """The documents without all but one of each component: the least id stays, of equal ids the text
+    of least hash, of rows equal in id and text any one. Documents without words all stay. All columns
+    are kept. Rows are told apart by hashes of id and text, so no number must agree in two passes.
     """
     require(docs, id, text)
-    row = fresh(docs, "_row")
-    numbered = numbered_once(docs, row)
-    slim = numbered.select(F.col(row).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    doc_map, linked = link_classes(slim)
+    keys = content_keys(docs)
+    keyed = with_content(docs, keys, id, text)
+    name = F.struct(F.col(id).alias("id"), *[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)])
+    doc_map, linked = link_classes(keyed.select(name.alias("doc_id"), F.col(text).cast("string").alias("text")))
     named = doc_map.join(linked, doc_map["set_id"] == linked["id"], "left").select(
-        F.col("doc_id").alias(row), "n", F.coalesce("component", "set_id").alias("component")
+        "doc_id", "n", F.coalesce("component", "set_id").alias("component")
     )
-    order = F.struct(F.col(id).alias("id"), F.col(row).alias("row"))
-    ids = numbered.select(row, id)
-    best = named.where("n > 0").join(ids, row).groupBy("component").agg(F.min(order).alias("best"))
-    stay = best.select(F.col("best.row").alias(row)).unionByName(named.where("n = 0").select(row))
-    return numbered.join(stay, row, "left_semi").drop(row)
+    best = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("doc_id"))
+    rows = named.where("n > 0").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    one = best.select("doc_id").join(rows, "doc_id").select("doc_id.*", (F.col("rows") > 1).alias("repeated"))
+    blank = named.where("n = 0").select("doc_id.*", F.lit(False).alias("repeated")).distinct()
+    # written first, so that the joins below only move their rows
+    stay = staged(one.unionByName(blank).select(*[F.col(f"key{i}").alias(k) for i, k in enumerate(keys)], "repeated"))
+    kept = keyed.join(stay.where("not repeated").drop("repeated"), keys, "left_semi")
+    repeated = stay.where("repeated").drop("repeated")
+    if not repeated.isEmpty():
+        again = keyed.join(repeated, keys, "left_semi").groupBy(*keys).agg(F.first(F.struct(*docs.columns)).alias("row"))
+        kept = kept.drop(*keys).unionByName(again.select("row.*"))
+    return kept.drop(*keys)

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    STEP, Spans, chunks, column, fresh, mix, numbered_once, require, spans, staged, stretch_hashes, text_bytes,
-    text_hashes, widened,
+    STEP, Spans, chunks, column, content_keys, fresh, mix, require, spans, staged, stretch_hashes, text_bytes,
+    text_hashes, widened, with_content,
 )
 
 # A line is boilerplate of its host when more than MIN_DOCS different texts and more than SHARE
@@ -154,9 +154,12 @@ def boilerplate(
     )
 
 
-def _slim(docs: DataFrame, row, host: str, text: str, *more) -> DataFrame:
+def _slim(docs: DataFrame, host: str, text: str, *more) -> DataFrame:
     require(docs, host, text)
-    return docs.select(*more, row.alias("row"), F.xxhash64(host).alias("host_key"), F.col(text).alias("text"))
+    return docs.select(
+        *more, F.monotonically_increasing_id().alias("row"), F.xxhash64(host).alias("host_key"),
+        F.col(text).alias("text"),
+    )
 
 
 def _hits(measured: DataFrame) -> DataFrame:
@@ -175,7 +178,7 @@ def judge(docs: DataFrame, id: str = "doc_id", host: str = "source", text: str =
     boilerplate lines of the host. Null or empty texts have no words and fail; documents without a
     host (null) form one host. Every row is judged, repeated ones alike. Other columns are not read.
     """
-    measured = staged(measure(_slim(docs, F.monotonically_increasing_id(), host, text, F.col(id).alias("id"))))
+    measured = staged(measure(_slim(docs, host, text, F.col(id).alias("id"))))
     removed = _hits(measured).groupBy("row").agg(F.sum("words").alias("removed"))
     return (
         measured.drop("line_keys", "line_words", "text_key", "host_key").join(removed, "row", "left").drop("row")
@@ -221,18 +224,20 @@ def measure_lines(lines: pa.Array) -> list[int | None]:
 
 def apply_rules(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
     """The documents that `judge` keeps, with their boilerplate lines removed and all columns as they
-    were. The rows are written once with a number, which carries the verdicts."""
+    were. A verdict depends on host and text only and is joined by their hashes, so no row needs a
+    number that two passes must agree on. Verdicts are written first: the join then only moves its
+    rows, and a text with very many copies can be split."""
     require(docs, host, text)
-    row, gone = (fresh(docs, f"_{x}") for x in ("row", "gone"))
-    numbered = numbered_once(docs, row)
-    measured = staged(measure(_slim(numbered, F.col(row), host, text)))
+    gone, keys = fresh(docs, "_gone"), content_keys(docs)
+    keyed = with_content(docs, keys, host, text)
+    measured = staged(measure(_slim(keyed, host, text, *[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)])))
     found = _hits(measured).groupBy("row").agg(F.sum("words").alias("words"), F.collect_set("line_key").alias(gone))
-    verdict = (
-        measured.select("row", "n_words", _failed().alias("failed")).join(found, "row", "left")
+    verdict = staged(
+        measured.select("row", "key0", "key1", "key2", "n_words", _failed().alias("failed")).join(found, "row", "left")
         .where(~F.col("failed") & _enough(F.coalesce("words", F.lit(0))))
-        .select(F.col("row").alias(row), gone)
+        .groupBy(*[F.col(f"key{i}").alias(k) for i, k in enumerate(keys)]).agg(F.first(gone).alias(gone))
     )
-    joined = numbered.join(verdict, row).drop(row)
+    joined = keyed.join(verdict, keys).drop(*keys)
     names = docs.columns
     at = names.index(text)
 
