@@ -173,7 +173,7 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     def catch_up():
         query = ingest.ingest_available(ingest.incoming_rows(spark, landing, schemas.LOANS), table, state)
         assert query.awaitTermination(60)
-        return spark.read.parquet(table)
+        return files.read_snapshots(spark, table)
 
     assert catch_up().count() == 5
     assert catch_up().count() == 5

@@ -41,7 +41,7 @@ def deploy(spark: SparkSession, folder: str, day: dt.date) -> DataFrame:
     While the same model stays deployed its reference months stay as they were; a new one takes the
     two months before its training date. Deploying a day again replaces its row.
     """
-    best = select_best(spark.read.parquet(f"{folder}/{REGISTRY}"), day).select(
+    best = select_best(read_snapshots(spark, f"{folder}/{REGISTRY}"), day).select(
         F.lit(day).alias("snapshot_date"),
         "model_name",
         "path",
@@ -72,6 +72,6 @@ def log_decisions(decisions: DataFrame, folder: str, keys: Sequence[str] = ("mod
 
 def score_months(spark: SparkSession, folder: str, store: DataFrame, months: Sequence[dt.date]) -> DataFrame:
     """Score months through the deployment table, with the records of the deployed models."""
-    deployed = spark.read.parquet(f"{folder}/{DEPLOYMENTS}")
+    deployed = read_snapshots(spark, f"{folder}/{DEPLOYMENTS}")
     paths = {r["model_name"]: r["path"] for r in deployed.select("model_name", "path").distinct().collect()}
     return models.score_deployed(store, deployed, {name: models.load(spark, path) for name, path in paths.items()}, months)

@@ -62,7 +62,7 @@ def ingest_bronze(
             F.col("snapshot_date").isNotNull()
         )
         # A delivery replaces its month also when it has no rows; a missing file leaves the table as it is.
-        months = None if snapshot is None or rows.isEmpty() else [snapshot]
+        months = [] if snapshot is None or rows.isEmpty() else [snapshot]
         write_snapshots(dated if snapshot is None else at_snapshot(dated, snapshot), layout.bronze(source), months)
 
 

@@ -14,7 +14,7 @@ from tidemark.functions.dates import shift_months
 from tidemark.operators.history import upsert_keep_last
 from tidemark.operators.snapshots import distinct_months, in_range
 from tidemark.schemas import raw_schema
-from tidemark.session import checkpointed
+from tidemark.sources import commits
 
 SNAPSHOT = "snapshot_date"
 _FORMATS = {".parquet": "parquet", ".pq": "parquet", ".csv": "csv", ".csv.gz": "csv", ".gz": "csv"}
@@ -63,18 +63,23 @@ def read_snapshots(
     end: dt.date | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """A partitioned table, optionally from start to end inclusive (prunes partitions).
+    """A table of `write_snapshots`, or any folder partitioned by month, optionally from start to
+    end inclusive (prunes partitions).
 
     With a schema, a table that does not exist yet is empty and absent columns are NULL.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        table = reader.option("mergeSchema", schema is None).parquet(folder)
-    except AnalysisException as error:
-        if schema is None or error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        table = spark.createDataFrame([], schema)
-    if start is None and end is None:
+    low, high = (f"{SNAPSHOT}={day.isoformat()}" for day in (start or dt.date.min, end or dt.date.max))
+    everything = start is None and end is None
+    table = commits.read(spark, folder, schema, wanted=lambda name: everything or low <= name <= high)
+    if table is None:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        try:
+            table = reader.option("mergeSchema", schema is None).parquet(folder)
+        except AnalysisException as error:
+            if schema is None or error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            table = spark.createDataFrame([], schema)
+    if everything:
         return table
     return in_range(table, start or dt.date.min, end or dt.date.max, SNAPSHOT)
 
@@ -89,30 +94,13 @@ def read_last_months(
     return rows.where(present == n_months)
 
 
-def write_snapshots(df: DataFrame, folder: str, months: Iterable[dt.date] | None = None) -> None:
-    """Replace the partitions that `df` has rows for, leave the others alone.
+def write_snapshots(df: DataFrame, folder: str, months: Iterable[dt.date] = ()) -> None:
+    """Replace the months that `df` has rows for, in one commit; leave the others alone.
 
-    `months` are all months of the run: those that came out empty lose their old rows. They are
-    removed after the write, so a failed write leaves the table as it was. The rebalance hint lets adaptive execution gather small months into few files and split
-    a month that is too large for one task.
+    `months` are all months of the run: those that came out empty lose their old rows. A write that
+    fails midway leaves the table as it was.
     """
-    (
-        df.hint("rebalance", F.col(SNAPSHOT))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SNAPSHOT)
-        .parquet(folder)
-    )
-    if months is not None:
-        filled = {r[0] for r in df.select(SNAPSHOT).distinct().collect()}  # one row per month
-        for month in sorted(set(months) - filled):
-            _remove(df.sparkSession, f"{folder}/{SNAPSHOT}={month}")
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of any store that Spark can write to, if it exists."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    commits.write(df, folder, SNAPSHOT, months)
 
 
 def write_csv(df: DataFrame, folder: str) -> None:
@@ -125,25 +113,19 @@ def upsert_history(
 ) -> DataFrame:
     """Add rows to a history table, last write per key wins; only touched periods are rewritten.
 
-    Of several new rows with one key the last in the frame's order stays, also on the first write. The merge is checkpointed before the write, because it reads the files it replaces.
+    Of several new rows with one key the last in the frame's order stays, also on the first write.
+    The merge is committed only on top of the commit that it read.
     """
     spark = new.sparkSession
     incoming = new.withColumn("ingest_seq", F.monotonically_increasing_id())
-    try:
-        stored = spark.read.schema(new.schema).parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = spark.createDataFrame([], new.schema)
+    base = commits.latest(spark, folder)
+    stored = spark.createDataFrame([], new.schema)
+    if base is not None:
+        stored = commits.read(spark, folder, new.schema, base)
     # One row per touched period.
     touched = new.select(partition).distinct()
     earlier = stored.join(F.broadcast(touched), partition, "left_semi")
     earlier = earlier.withColumn("ingest_seq", F.lit(-1).cast("bigint"))
-    merged = checkpointed(upsert_keep_last(earlier, incoming, keys).drop("ingest_seq"))
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(folder)
-    )
-    return spark.read.schema(new.schema).parquet(folder)
+    merged = upsert_keep_last(earlier, incoming, keys).drop("ingest_seq")
+    done = commits.write(merged, folder, partition, expected=base.number if base else 0)
+    return commits.read(spark, folder, new.schema, done)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.schemas import raw_schema
+from tidemark.sources import commits, files
 
 
 def incoming_rows(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
@@ -31,13 +32,17 @@ def incoming_rows(spark: SparkSession, folder: str, schema: T.StructType) -> Dat
 def ingest_available(rows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Append to the bronze table, one partition per snapshot, and stop when caught up.
 
+    A micro-batch is one commit of the same table that the batch runs write; a batch that is
+    repeated after a failure is known by the stream's checkpoint and its number, and adds nothing.
     `checkpoint` belongs in storage that outlives the executors.
     """
+
+    def add(batch: DataFrame, number: int) -> None:
+        commits.write(batch, table, files.SNAPSHOT, append=True, batch=(checkpoint, number))
+
     return (
-        rows.writeStream.format("parquet")
-        .partitionBy("snapshot_date")
+        rows.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .outputMode("append")
-        .start(table)
+        .start()
     )
