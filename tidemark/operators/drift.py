@@ -88,6 +88,61 @@ def bin_proportions(
     return counted.select("feature", *by, usable, "n")
 
 
+def bin_counts(
+    rows: DataFrame,
+    edges: DataFrame,
+    by: Sequence[str] = (),
+    n_bins: int = N_BINS,
+    **bin_options: bool,
+) -> DataFrame:
+    """(feature, counts, n, by...): rows per bin and all rows, a state that can be added up."""
+    placed = rows.join(F.broadcast(edges), "feature", "left").select(
+        "feature", *by, bin_number(n_bins, **bin_options).alias("_bin"), F.size("edges").alias("_n_edges")
+    )
+    counted = placed.groupBy("feature", *by).agg(
+        F.count("*").alias("n"),
+        F.max("_n_edges").alias("_n_edges"),
+        *[F.expr(f"count_if(_bin = {i}) as _c{i}") for i in range(n_bins)],
+    )
+    each = ", ".join(f"_c{i}" for i in range(n_bins))
+    return counted.select("feature", F.expr(f"slice(array({each}), 1, _n_edges - 1) as counts"), "n", *by)
+
+
+def _shares(counts: str) -> Column:
+    total = f"aggregate({counts}, 0L, (s, c) -> s + c)"
+    return F.expr(f"transform({counts}, c -> if({total} > 0, c / {total}, 0D))")
+
+
+def drift_of_counts(
+    counts: DataFrame,
+    reference: DataFrame,
+    model_name: str,
+    kind: str | Column,
+    n_bins: int = N_BINS,
+    snapshot: str = "snapshot_date",
+) -> DataFrame:
+    """The rows of `drift_history` from stored `bin_counts` by month; no row is read again.
+
+    `reference` are the stored counts of the reference months, by the edges of the same model.
+    """
+    numbered = reference.select("feature", F.posexplode("counts").alias("_i", "_c"))
+    summed = numbered.groupBy("feature", "_i").agg(F.sum("_c").alias("_c"))
+    base = summed.groupBy("feature").agg(F.sort_array(F.collect_list(F.struct("_i", "_c"))).alias("_base"))
+    base = base.withColumn("_base", F.col("_base._c"))
+    # One row per feature.
+    both = counts.join(F.broadcast(base), "feature", "left")
+    placed = both.withColumns({"_now": _shares("counts"), "_before": _shares("_base")})
+    return placed.select(
+        F.lit(model_name).alias("model_name"),
+        (F.lit(kind) if isinstance(kind, str) else kind).alias("type"),
+        F.col(snapshot).alias("snapshot_date"),
+        dates.period_month(F.col(snapshot)).alias("period_month"),
+        "feature",
+        stability_index("_now", "_before", n_bins).alias("psi"),
+        "n",
+    )
+
+
 def stability_index(compared: str, reference: str, n_bins: int = N_BINS) -> Column:
     """Sum of (p - q) * ln(p / q) with both shares clipped to [EPSILON, 1]."""
     terms = []

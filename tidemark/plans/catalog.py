@@ -28,6 +28,7 @@ from tidemark.operators import (
     order_stats,
     profiling,
     quality,
+    sketches,
     snapshots,
     tree_search,
     typing,
@@ -35,7 +36,8 @@ from tidemark.operators import (
 from tidemark.plans import fixtures as fx
 from tidemark.plans import gold, silver
 from tidemark.rules import LabelRule
-from tidemark.session import stored
+from tidemark.session import scratch_folder, stored
+from tidemark.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1010,3 +1012,90 @@ def approx_quantiles(spark, d):
     share = F.get(F.array(*[F.lit(p) for p in shares]), F.col("i"))
     near = (F.col("below") <= (share + 0.01) * F.col("n") + 1) & (F.col("up_to") >= (share - 0.01) * F.col("n") - 1)
     return ranked.select("column_name", share.alias("share"), near.alias("is_near"))
+
+
+# --- sinks read back, stored states ------------------------------------------------
+
+
+@query
+def csv_readback(spark, d):
+    """Two deliveries of one folder: columns in another order, and one column missing."""
+    folder = f"{scratch_folder(spark, 'deliveries')}/orders.csv"
+    orders = fx.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    files.write_csv(orders.where("o_orderkey % 2 = 0"), f"{folder}/one")
+    files.write_csv(orders.where("o_orderkey % 2 = 1").select("o_totalprice", "o_custkey", "o_orderkey"), f"{folder}/two")
+    text = files.read_table(spark, f"{folder}/*", orders.schema)
+    return text.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
+@query
+def snapshot_sink_readback(spark, d):
+    """Monthly orders written, then two months again: one with other rows, one that comes out empty."""
+    folder = scratch_folder(spark, "orders")
+    orders = _monthly(fx.table(spark, d, "orders"), "o_orderdate").select("o_orderkey", "o_totalprice", "snapshot_date")
+    files.write_snapshots(orders, folder)
+    again = [dt.date(1997, 1, 1), dt.date(1997, 2, 1)]
+    january = snapshots.at_snapshot(orders, again[0]).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    files.write_snapshots(january, folder, again)
+    return files.read_snapshots(spark, folder, dt.date(1996, 12, 1), dt.date(1998, 3, 1))
+
+
+@query
+def history_sink_readback(spark, d):
+    """Order counts per customer and month, those of 1998 on delivered a second time with other values."""
+    folder = scratch_folder(spark, "history")
+    day = F.col("o_orderdate").cast("date")
+    counts = fx.table(spark, d, "orders").groupBy("o_custkey", F.date_format(day, "yyyy-MM").alias("period_month")).agg(
+        F.count("*").alias("n_orders")
+    )
+    files.upsert_history(counts, folder, ["o_custkey", "period_month"])
+    later = counts.where("period_month >= '1998-01' and o_custkey % 2 = 0").withColumn("n_orders", -F.col("n_orders"))
+    return files.upsert_history(later, folder, ["o_custkey", "period_month"])
+
+
+SKETCHED = ["l_quantity", "l_extendedprice", "l_discount"]
+SKETCHED_TEXT = ["l_returnflag", "l_comment_key"]
+
+
+@query
+def sketch_profile(spark, d):
+    """Profile of a year and a half from stored monthly sketches, held against the rows: whether each
+    quantile lies within a hundredth of its rank and the distinct count within three percent."""
+    folder, shares = scratch_folder(spark, "sketches"), [0.05, 0.25, 0.5, 0.75, 0.95]
+    lines = _monthly(fx.table(spark, d, "lineitem"), "l_shipdate").withColumn(
+        "l_comment_key", F.concat_ws("-", "l_partkey", "l_suppkey")
+    )
+    files.write_snapshots(sketches.sketch_months(lines, SKETCHED, SKETCHED_TEXT), folder)
+    span = dt.date(1996, 1, 1), dt.date(1997, 6, 1)
+    found = sketches.merged_profile(files.read_snapshots(spark, folder, *span), shares)
+
+    rows = snapshots.in_range(lines, *span, "snapshot_date")
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in (*SKETCHED, *SKETCHED_TEXT)]).unpivot(
+        [], [*SKETCHED, *SKETCHED_TEXT], "feature", "exact"
+    )
+    cells = found.where("quantiles is not null").select("feature", F.posexplode("quantiles").alias("i", "q"))
+    share = F.get(F.array(*[F.lit(p) for p in shares]), F.col("i"))
+    ranked = order_stats.unpivot(rows, SKETCHED).join(F.broadcast(cells), "feature").groupBy("feature", "i").agg(
+        F.count("*").alias("n"), F.count_if(F.col("value") < F.col("q")).alias("below"),
+        F.count_if(F.col("value") <= F.col("q")).alias("up_to"),
+    )
+    near = (F.col("below") <= (share + 0.01) * F.col("n") + 1) & (F.col("up_to") >= (share - 0.01) * F.col("n") - 1)
+    ranks = ranked.groupBy("feature").agg(F.count_if(near).alias("near_quantiles"))
+    return found.join(exact, "feature").join(ranks, "feature", "left").select(
+        F.col("feature").alias("column_name"), "n", "missing",
+        (F.abs(F.col("distinct_values") - F.col("exact")) <= 0.03 * F.col("exact")).alias("distinct_is_near"),
+        F.coalesce("near_quantiles", F.lit(0)).alias("near_quantiles"),
+    )
+
+
+@query
+def drift_from_counts(spark, d):
+    """Drift of the lines from stored bin counts, the later months added by a second run that reads
+    only them; equal to the drift from all rows."""
+    folder, border = scratch_folder(spark, "bins"), dt.date(1999, 1, 1)
+    edges = stored(drift.bin_edges(_lineitem_reference(spark, d)), "edges")
+    lines = fx.table(spark, d, "lineitem")
+    for part in (lines.where(F.col("l_shipdate") < F.lit(border)), lines.where(F.col("l_shipdate") >= F.lit(border))):
+        files.write_snapshots(drift.bin_counts(_line_rows(part), edges, ["snapshot_date"]), folder)
+    base = files.read_snapshots(spark, folder, dt.date(1996, 1, 1), dt.date(1996, 2, 1))
+    return rounded(drift.drift_of_counts(files.read_snapshots(spark, folder), base, "lines", "CSI"), "psi")

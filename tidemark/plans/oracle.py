@@ -951,6 +951,23 @@ _BODIES: dict[str, str] = {
         FROM (SELECT *, sum(CAST(is_new AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island
           FROM (SELECT *, coalesce(event_type <> lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id), true) AS is_new
             FROM events))""",
+    "csv_readback": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_totalprice,
+          CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+    "snapshot_sink_readback": """
+        SELECT o_orderkey, CASE WHEN m = DATE '1997-01-01' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+          m AS snapshot_date
+        FROM (SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders)
+        WHERE m BETWEEN DATE '1996-12-01' AND DATE '1998-03-01' AND m <> DATE '1997-02-01'""",
+    "history_sink_readback": """
+        SELECT o_custkey, period_month,
+          CASE WHEN period_month >= '1998-01' AND o_custkey % 2 = 0 THEN -n ELSE n END AS n_orders
+        FROM (SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS period_month, count(*) AS n FROM orders GROUP BY 1, 2)""",
+    "sketch_profile": """
+        SELECT c AS column_name, n, missing, true AS distinct_is_near, CAST(k AS BIGINT) AS near_quantiles
+        FROM (VALUES ('l_quantity', 5), ('l_extendedprice', 5), ('l_discount', 5), ('l_returnflag', 0), ('l_comment_key', 0)) a(c, k),
+          (SELECT count(*) AS n, CAST(0 AS BIGINT) AS missing FROM lineitem
+            WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1997-07-01')""",
+    "drift_from_counts": f"SELECT * REPLACE ({_round('psi')}) FROM line_drift",
 }
 
 # The matrix needs one extra block: capped rows without NULLs in long form.

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import re
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +21,7 @@ from tidemark.schemas import raw_schema
 from tidemark.sources import commits
 
 SNAPSHOT = "snapshot_date"
+HEADER_READERS = 8
 _FORMATS = {".parquet": "parquet", ".pq": "parquet", ".csv": "csv", ".csv.gz": "csv", ".gz": "csv"}
 
 
@@ -34,15 +39,43 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     if file_format(path) == "parquet":
         reader = spark.read if schema is None else spark.read.schema(schema)
         return reader.parquet(path)
-    text = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False).csv(path)
     if schema is None:
-        return text
-    # Columns are found by header name, so their order may differ between deliveries. Files of one
-    # folder share one order; a file with another one fails instead of being read wrongly.
-    wanted = raw_schema(schema).fieldNames()
-    if missing := [c for c in wanted if c not in text.columns]:
+        return _csv(spark).option("enforceSchema", False).csv(path)
+    return _by_header(spark, path, raw_schema(schema).fieldNames())
+
+
+def _csv(spark: SparkSession) -> DataFrameReader:
+    return spark.read.option("header", True).option("mode", "PERMISSIVE")
+
+
+def _by_header(spark: SparkSession, path: str, wanted: Sequence[str]) -> DataFrame:
+    """Text columns of all CSV files of a path, found by header name in each file.
+
+    Files with the same header are one scan; a column that a file lacks is NULL in its rows, one that
+    every file lacks is an error. Only the first line of each file is read for this.
+    """
+    files = [_literal(f) for f in _csv(spark).csv(path).inputFiles()]
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        headers = list(pool.map(lambda f: tuple(_csv(spark).csv(f).columns), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers, strict=True):
+        if header:  # a file without any line has none
+            groups.setdefault(header, []).append(file)
+    if missing := [c for c in wanted if not any(c in header for header in groups)]:
         raise ValueError(f"{path} has no columns {missing}")
-    return text.select(*wanted)
+    frames = []
+    for header, members in sorted(groups.items()):
+        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        frame = _csv(spark).schema(text).option("enforceSchema", False).csv(members)
+        frames.append(
+            frame.select(*[F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in wanted])
+        )
+    return functools.reduce(DataFrame.union, frames)
+
+
+def _literal(uri: str) -> str:
+    """The path of a listed file as the readers take it: decoded, glob characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
