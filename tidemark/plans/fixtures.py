@@ -6,19 +6,35 @@ text, as a CSV scan would deliver it, except snapshot_date. Row counts grow with
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
+# Rows that one task derives at most, so that its sorts and hash tables do not grow with the input.
+ROWS_A_TASK = 250_000
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def customers(spark: SparkSession, folder: str, fan_out: int = 1) -> DataFrame:
+    """The customers, dealt over enough tasks for the `fan_out` rows that a source derives from each.
+
+    Without that the file's layout decides: a row group with all customers is one task, and so are all rows
+    derived from it. The count comes from the file footers; a table that fits one task stays as it is read.
+    """
+    rows = table(spark, folder, "customer")
+    tasks = math.ceil(rows.count() * fan_out / ROWS_A_TASK)
+    return rows if tasks <= 1 else rows.repartition(tasks, "c_custkey")
+
+
 def _cohort_start(k: str) -> str:
     return f"add_months(date'2023-01-01', cast({k} % 24 as int))"
 
 
 def raw_attributes(spark: SparkSession, folder: str) -> DataFrame:
-    ids = table(spark, folder, "customer").selectExpr(
+    ids = customers(spark, folder).selectExpr(
         "c_custkey as k",
         "case when c_custkey % 97 = 96 then c_custkey - 1 else c_custkey end as j",
         "c_name",
@@ -39,7 +55,7 @@ def raw_attributes(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_financials(spark: SparkSession, folder: str) -> DataFrame:
     base = (
-        table(spark, folder, "customer")
+        customers(spark, folder, 3)
         .selectExpr("c_custkey as k", "explode(sequence(0, 2)) as m")
         .selectExpr("k", "m", "k * 31 + m * 17 as h")
     )
@@ -78,7 +94,7 @@ def raw_financials(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_clickstream(spark: SparkSession, folder: str) -> DataFrame:
-    base = table(spark, folder, "customer").selectExpr("c_custkey as k", "explode(sequence(0, 2)) as m")
+    base = customers(spark, folder, 3).selectExpr("c_custkey as k", "explode(sequence(0, 2)) as m")
     return base.selectExpr(
         *[f"cast((k * {i} * 13 + m * 7) % 200 - 50 as string) as fe_{i}" for i in range(1, 21)],
         "concat('CUS_', k) as Customer_ID",
@@ -88,7 +104,7 @@ def raw_clickstream(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_loans(spark: SparkSession, folder: str) -> DataFrame:
     base = (
-        table(spark, folder, "customer")
+        customers(spark, folder, 11)
         .selectExpr("c_custkey as k", "explode(sequence(0, 10)) as i")
         .selectExpr(
             "k",
@@ -130,7 +146,7 @@ def activity(spark: SparkSession, folder: str) -> DataFrame:
 
 def scores(spark: SparkSession, folder: str) -> DataFrame:
     """One deterministic score per customer at the cohort's first month."""
-    return table(spark, folder, "customer").selectExpr(
+    return customers(spark, folder).selectExpr(
         "concat('CUS_', c_custkey) as Customer_ID",
         f"{_cohort_start('c_custkey')} as snapshot_date",
         "'prod_model' as model_name",
@@ -140,7 +156,7 @@ def scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def monthly_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of every customer in the cohort's first three months."""
-    base = table(spark, folder, "customer").selectExpr("c_custkey as k", "explode(sequence(0, 2)) as m")
+    base = customers(spark, folder, 3).selectExpr("c_custkey as k", "explode(sequence(0, 2)) as m")
     return base.selectExpr(
         "concat('CUS_', k) as Customer_ID",
         f"add_months({_cohort_start('k')}, m) as snapshot_date",
@@ -153,7 +169,7 @@ def outcomes(spark: SparkSession, folder: str) -> DataFrame:
     """Labels six months after the scored months: one to three loans a customer, some customers without
     one in a month, and no month from June 2025 on."""
     base = (
-        table(spark, folder, "customer")
+        customers(spark, folder, 9)
         .selectExpr("c_custkey as k", "explode(sequence(0, 2)) as m")
         .selectExpr("k", "m", "explode(sequence(0, cast(k % 3 as int))) as j")
         .where("(k + m) % 4 <> 0")
