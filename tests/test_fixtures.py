@@ -38,7 +38,7 @@ def test_dealt_sources_keep_their_rows_and_bound_a_task(spark, one_file, source,
     assert dealt.exceptAll(as_read).isEmpty() and as_read.exceptAll(dealt).isEmpty()
 
 
-@pytest.mark.parametrize("name", ["feature_select", "fill_null_numeric", "dropna_all_features", "label_surrogate_dsl", "score_deployed"])
+@pytest.mark.parametrize("name", ["feature_select", "fill_null_numeric", "dropna_all_features", "label_surrogate_dsl", "score_deployed", "feature_merge_outer"])
 def test_query_multiplies_no_rows_in_the_task_that_read_them(spark, one_file, name, monkeypatch):
     def seen(frame, *_):
         raise Stored(frame)
